@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pieces, token_counts
+from . import common, decontaminate, pieces, simhash, token_counts, token_files
 
 
 def vocabulary(name: str) -> str:
@@ -30,9 +31,27 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(docs, vocabulary("piece_bpe_32k.model"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.new_path(spark, "token-files")
+    code = token_files.write_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
+    return token_files.read_files(spark, path, code)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_simhash": op8_simhash,
+    "op9_token_files": op9_token_files,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

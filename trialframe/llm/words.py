@@ -138,3 +138,45 @@ def pretoken_starts(cp: np.ndarray, offsets: np.ndarray, classes: np.ndarray) ->
         # an end that is a blank before a word still opens the next pre-token
         start[ends] = True
     return np.flatnonzero(start)
+
+
+def separators(chars: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(chars)] = True
+    return table
+
+
+#: blank, tab, line feed, vertical tab, form feed, carriage return
+BLANKS = separators(b" \t\n\x0b\x0c\r")
+
+
+def byte_words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lens, bounds) of the words in UTF-8 bytes; bounds number the words where each text begins."""
+    inside = ~separator[raw]
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    edge = offsets[1:-1]
+    edge = edge[(edge > 0) & (edge < len(raw))]  # no word goes on from one text into the next
+    start[edge] = inside[edge]
+    end[edge - 1] = inside[edge - 1]
+    starts = np.flatnonzero(start)
+    return starts, np.flatnonzero(end) + 1 - starts, np.searchsorted(starts, offsets)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, lens: np.ndarray, separator: np.ndarray = BLANKS, base: int = _STEP) -> np.ndarray:
+    codes = char_codes()[:256].copy()
+    codes[separator] = 0
+    return stretch_hashes(codes[raw], starts, lens, base)
+
+
+def window_hashes(hashes: np.ndarray, width: int, base: int = _STEP) -> np.ndarray:
+    """Fingerprint of each ``width`` consecutive symbols (over text bounds too; drop those by their bounds)."""
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    for k in range(width):
+        out *= np.uint64(base)
+        out += hashes[k : k + n]
+    return mixed(out)
