@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, pieces, simhash, token_counts, token_files
+from . import common, decontaminate, pieces, recompress, simhash, token_counts, token_files
 
 
 def vocabulary(name: str) -> str:
@@ -26,6 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_decode(docs, vocabulary("piece_bpe_32k.model"))
@@ -48,6 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
