@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Texts are handed to the numpy code in slices of about this many bytes (or one text).
 SLICE_BYTES = 2_000_000
@@ -56,6 +57,11 @@ def spread(df: DataFrame, per_core: int = 1) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 
+def with_fields(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` with more columns."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def plain_strings(column: pa.Array | pa.ChunkedArray) -> pa.LargeStringArray:
     """One contiguous large-string array, null as the empty string."""
     if isinstance(column, pa.ChunkedArray):

@@ -154,9 +154,8 @@ def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: boo
     added = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * ids + ["decoded_text"] * decoded
     keep = [c for c in docs.columns if c != text and c not in added]
     rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = rows.drop("__text").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    schema = schema.add("token_ids", "array<int>") if ids else schema
-    schema = schema.add("decoded_text", "string") if decoded else schema
+    more = ", token_ids array<int>" * ids + ", decoded_text string" * decoded
+    schema = common.with_fields(rows.drop("__text"), "n_tokens long, ids_sha256 string, decoded_sha256 string" + more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, pieces, recompress, simhash, token_counts, token_files
+from . import common, decontaminate, language, pieces, recompress, secret_scan, simhash, token_counts, token_files
 
 
 def vocabulary(name: str) -> str:
@@ -26,10 +26,21 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language.train(docs)
+    rows = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.identify(rows, net).drop("text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_decode(docs, vocabulary("piece_bpe_32k.model"))
@@ -52,7 +63,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_language": op3_language,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
