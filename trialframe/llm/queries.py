@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, language, pieces, recompress, secret_scan, simhash, token_counts, token_files
+from . import chat_format, common, decontaminate, language, oracle, pieces, recompress, secret_scan, simhash, token_counts, token_files, topk_search
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json"))
@@ -33,6 +37,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, net).drop("text")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    segments = common.written(chat_format.format_turns(turns.union(probe)), "chat")
+    return chat_format.digest(segments).drop("n_attachments", "attachment_tokens")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -62,8 +75,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
     "op2_token_counts": op2_token_counts,
     "op3_language": op3_language,
+    "op4_chat_format": op4_chat_format,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_sentencepiece": op7_sentencepiece,
@@ -72,4 +87,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
