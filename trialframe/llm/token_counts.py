@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from . import common, merges, words
 
-CACHE_WORDS = 200_000
+#: counts of recent pre-tokens, kept by each Python worker
+_recent = words.Recent(200_000)
 
 
 def byte_letters() -> list[str]:
@@ -101,18 +102,12 @@ def pretokens(strings: pa.LargeStringArray, classes: np.ndarray) -> tuple[str, n
     return text, starts, lens, first, group, np.searchsorted(starts, offsets)
 
 
-def count_slice(strings: pa.LargeStringArray, bpe: ByteBpe, cache: dict[str, int]) -> np.ndarray:
+def count_slice(strings: pa.LargeStringArray, bpe: ByteBpe) -> np.ndarray:
     """Tokens of each text."""
     pieces, owner, found = split_special(strings, bpe.special)
     text, starts, lens, first, group, offsets = pretokens(pieces, bpe.classes)
     kinds = [text[a : a + n] for a, n in zip(starts[first].tolist(), lens[first].tolist(), strict=True)]
-    missing = [w for w in kinds if w not in cache]
-    if missing:
-        if len(cache) + len(missing) > CACHE_WORDS:
-            cache.clear()
-            missing = kinds
-        cache.update(zip(missing, bpe.encode(missing)[1].tolist(), strict=True))
-    counts = np.array([cache[w] for w in kinds], np.int64)
+    counts = np.array(_recent.of(kinds, lambda some: bpe.encode(some)[1].tolist()), np.int64)
     of_piece = common.sums(counts[group], offsets)
     return np.bincount(owner, of_piece, len(strings)).astype(np.int64) + np.array([len(x) for x in found], np.int64)
 
@@ -128,12 +123,11 @@ def token_counts(docs: DataFrame, tokenizer_path: str, text: str = "text", limit
     schema = rows.drop("__text").schema.add("n_bytes", "long").add("n_tokens", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, int] = {}
         for batch in batches:
             strings = common.plain_strings(batch.column("__text"))
             for a, b in common.text_slices(strings):
                 part = strings.slice(a, b - a)
-                n_tokens = count_slice(part, bpe.value, cache)
+                n_tokens = count_slice(part, bpe.value)
                 columns = [batch.column(c).slice(a, b - a) for c in keep]
                 n_bytes = np.diff(common.byte_view(part)[1])
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())], [*keep, "n_bytes", "n_tokens"])

@@ -27,8 +27,8 @@ from . import common, token_counts, words
 
 #: ids between checkpoints, bytes of a block's payload, ids that one shard should hold
 STEP, BLOCK_BYTES, SHARD_IDS = 512, 1_000_000, 20_000_000
-CACHE_WORDS = 200_000
-_cache: dict[str, bytes] = {}
+#: ids of recent pre-tokens, kept by each Python worker
+_recent = words.Recent(200_000)
 
 
 class LibraryEncoder:
@@ -53,7 +53,7 @@ class LibraryEncoder:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "library"}
 
-    def fill(self, kinds: list[str], cache: dict[str, bytes]) -> None:
+    def encode(self, kinds: list[str]) -> list[bytes]:
         if not hasattr(self, "library"):
             import os
 
@@ -63,25 +63,16 @@ class LibraryEncoder:
             self.library = Tokenizer.from_str(self.source)
         (found,) = self.library.encode_batch_fast([kinds], is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, self.dtype)
-        ends = np.cumsum(self.id_bytes[ids])
-        cut = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in kinds]), "right").tolist()
-        raw, size, before = ids.tobytes(), self.dtype.itemsize, 0
-        for w, end in zip(kinds, cut, strict=True):
-            cache[w] = raw[before * size : end * size]
-            before = end
+        cut = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(w.encode()) for w in kinds]), "left") + 1
+        raw, ends = ids.tobytes(), (cut * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def ids(self, strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their number for each text)."""
         pieces, owner, found = token_counts.split_special(strings, self.special)
         text, starts, lens, first, group, offsets = token_counts.pretokens(pieces, self.classes)
         kinds = [text[a : a + n] for a, n in zip(starts[first].tolist(), lens[first].tolist(), strict=True)]
-        missing = [w for w in kinds if w not in _cache]
-        if missing:
-            if len(_cache) + len(missing) > CACHE_WORDS:
-                _cache.clear()
-                missing = kinds
-            self.fill(missing, _cache)
-        own = [_cache[w] for w in kinds]
+        own = _recent.of(kinds, self.encode)
         flat = np.frombuffer(b"".join(own), self.dtype)
         counts = np.array([len(x) for x in own], np.int64) // self.dtype.itemsize
         ids = common.ragged_take(flat, (np.cumsum(counts) - counts)[group], counts[group])

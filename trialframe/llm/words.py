@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
@@ -16,6 +17,30 @@ def char_codes() -> np.ndarray:
     return np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 0x110000, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+class Recent:
+    """What was worked out for words, kept while they keep coming: two generations of at most ``size``
+    words and one call's, so that its memory is bounded. It only saves time."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def of(self, kinds: list[str], make: Callable[[list[str]], Iterable]) -> list:
+        """The value of each word; ``make`` gives those of a list of words not seen lately."""
+        new, old = self.new, self.old
+        missing = [w for w in kinds if w not in new and w not in old]
+        if missing:
+            new.update(zip(missing, make(missing), strict=True))
+        own = []
+        for w in kinds:
+            value = new.get(w)
+            if value is None:
+                value = new[w] = old[w]
+            own.append(value)
+        if len(new) > self.size:
+            self.old, self.new = new, {}
+        return own
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
