@@ -239,14 +239,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans become one."""
-    found = scan(docs)
-    names = docs.columns
-    schema = docs.schema
+    names, schema = docs.columns, docs.schema
+    # the row travels as one struct, so that its columns' names clash with none of the scan's
+    found = scan(docs.select(F.struct(*names).alias("row")), "row.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for value, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
+            for value, spans in zip(batch.column("text"), batch.column("__spans"), strict=True):
                 text, at, parts = value.as_py(), 0, []
                 for s in spans.as_py() or []:
                     if s["start"] >= at:
@@ -256,4 +256,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return found.select(*names, "spans").mapInArrow(run, schema)
+    return found.select("row.*", F.col("spans").alias("__spans")).mapInArrow(run, schema)
