@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir
 from ..streaming import incremental
 from .registry import query, table
 
@@ -15,10 +15,9 @@ from .registry import query, table
 @query("SELECT user_id, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY user_id")
 def stream_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of changes: each batch recomputes the users that it names from the whole table."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
-    folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     events = table(spark, sf_dir, "events")
-    changes = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet" if not sf_dir.startswith("viewfs") else "*").parquet(sf_dir)
+    changes = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque*")  # a pattern, since the table may be a file or a folder
 
     def compute(keys: DataFrame) -> DataFrame:
         return events.join(keys, "user_id", "left_semi").groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))
