@@ -196,14 +196,14 @@ def remove_repeats(docs: DataFrame, window: int = 20, rounds: int = 3, kept: boo
 
     ``kept_sha256`` is of the kept words joined by blanks; ``kept`` adds them as ``kept_text``.
     """
-    texts, ids = _placed(docs)
-    texts = texts.repartition("place")
+    scanned, ids = _placed(docs)
+    texts = scanned.repartition("place")  # one exchange of the texts, which all steps below share
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, strings in _sliced(batches):
             yield _digests(batch.column("place"), strings)
 
-    info = texts.mapInArrow(digests, "place long, d1 long, d2 long, n_words long").filter(F.col("n_words") >= window)
+    info = scanned.mapInArrow(digests, "place long, d1 long, d2 long, n_words long").filter(F.col("n_words") >= window)
     heads = info.groupBy("d1", "d2").agg(F.min("place").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     copies = info.join(heads, ["d1", "d2"]).filter("place <> head").select("place", "n_words")
     copies = common.written(copies, "copies")
@@ -222,7 +222,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, rounds: int = 3, kept: boo
             own = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])])
             yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(d[own]), pa.array(np.diff(np.r_[own, len(k)]) > 1)], ["key", "place", "more"])
 
-    occurrences = texts.join(copies, "place", "left_anti").mapInArrow(anchors, "key long, place long, more boolean")
+    # an anti join would be pushed below the exchange, and the texts would be shuffled once more
+    others = texts.join(copies.select("place", F.lit(True).alias("copy")), "place", "left").filter("copy IS NULL").select("place", "text")
+    occurrences = others.mapInArrow(anchors, "key long, place long, more boolean")
     shared = occurrences.groupBy("key").agg(F.sum(F.when(F.col("more"), 2).otherwise(1)).alias("n")).filter("n > 1").select("key")
     wanted = occurrences.select("key", "place").join(shared, "key").groupBy("place").agg(F.collect_list("key").alias("keys"))
 
