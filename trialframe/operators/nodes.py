@@ -71,14 +71,20 @@ def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str,
     kept = F.when(F.col("resolved").isNotNull(), F.map_concat(rest, F.create_map(F.lit(DIAGNOSIS), F.col("resolved")))).otherwise(rest)
     clinical = F.when(F.size(kept) > 0, F.to_json(F.struct(kept.alias("clinical"))))
     leaf = F.when(F.col("op") == "clinical", clinical).when(F.col("op") == "genomic", F.col("body"))
-    at = flat.withColumn("__name", name).join(resolved, "__name", "left").select(key, "node_path", "op", leaf.alias("node"))
-    deepest = flat.agg(F.max(F.size("node_path"))).head()[0] or 0
-    for depth in range(deepest, 0, -1):  # children into their parents, from the deepest level up
-        own = F.size("node_path") == depth
-        child = at.filter(own & F.col("node").isNotNull())
-        parts = F.array_sort(F.collect_list(F.struct(F.element_at("node_path", -1).alias("i"), "node")))
-        built = child.groupBy(key, F.slice("node_path", F.lit(1), F.greatest(F.size("node_path") - 1, F.lit(0))).alias("node_path")).agg(F.array_join(F.transform(parts, lambda x: x["node"]), ",").alias("__parts"))
-        at = at.filter(~own).join(built, [key, "node_path"], "left")
-        whole = F.concat(F.lit('{"'), "op", F.lit('":['), "__parts", F.lit("]}"))
-        at = at.select(key, "node_path", "op", F.when(F.col("op").isin("and", "or"), whole).otherwise(F.col("node")).alias("node"))
-    return at.filter(F.size("node_path") == 0).select(key, "node")
+    leaves = flat.withColumn("__name", name).join(resolved, "__name", "left").select(key, "node_path", "op", leaf.alias("node"))
+    # a tree's nodes come together in its row, and children go into their parents from the deepest level up
+    kind = "array<struct<node_path:array<int>,op:string,node:string>>"
+    rows = leaves.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("node_path", "op", "node"))).cast(kind).alias("__n"))
+    for depth in range(MAX_LEVELS - 1, 0, -1):
+
+        def parent(p: Column, depth: int = depth, kids: Column = F.col("__kids")) -> Column:
+            own = F.filter(kids, lambda c: F.slice(c["node_path"], 1, depth - 1) == p["node_path"])
+            body = F.array_join(F.transform(own, lambda c: c["node"]), ",")
+            whole = F.when(F.size(own) > 0, F.concat(F.lit('{"'), p["op"], F.lit('":['), body, F.lit("]}")))
+            inner = (F.size(p["node_path"]) == depth - 1) & p["op"].isin("and", "or")
+            return F.struct(p["node_path"].alias("node_path"), p["op"].alias("op"), F.when(inner, whole).otherwise(p["node"]).alias("node"))
+
+        kids = F.filter("__n", lambda c: (F.size(c["node_path"]) == depth) & c["node"].isNotNull())
+        rest = F.filter("__n", lambda c: F.size(c["node_path"]) < depth)
+        rows = rows.withColumn("__kids", kids).withColumn("__n", F.transform(rest, lambda p: parent(p)).cast(kind))
+    return rows.select(key, F.element_at("__n", 1)["node"].alias("node"))
