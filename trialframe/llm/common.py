@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import shared_dir
+
 #: Texts are handed to the numpy code in slices of about this many bytes (or one text).
 SLICE_BYTES = 2_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only a local session may go without the setting; it then gets a new folder of its own.
-    """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if path is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir()
-    return path.rstrip("/")
-
-
 def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
@@ -45,15 +32,36 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of an id table that may be broadcast (24 MB as a hash table of longs)
+BROADCAST_ROWS = 500_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """``ids``, a written table of few columns, marked for broadcast if it has few rows; left to a shuffled join if not."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Fewer rows in each Arrow batch for the jobs run inside: for rows of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table of our own that nothing reads any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def spread(df: DataFrame, per_core: int = 1) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """At least one partition for each core, for CPU-heavy work on small tables."""
-    want = df.sparkSession.sparkContext.defaultParallelism * per_core
+    want = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 

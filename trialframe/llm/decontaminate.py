@@ -136,6 +136,6 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float
 
 def clean(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose document holds no item."""
-    hit = leaks(docs, items, shingle, threshold).select("doc_id").distinct()
+    hit = common.small(common.written(leaks(docs, items, shingle, threshold).select("doc_id").distinct(), "leaks"))
     null_hit = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id"))
     return docs.alias("d").join(hit.alias("h"), null_hit, "left_anti").select("d.*")
