@@ -59,9 +59,18 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+#: rows in an Arrow batch of whole texts
+TEXT_ROWS = 1000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition for each core, for CPU-heavy work on small tables."""
-    want = df.sparkSession.sparkContext.defaultParallelism
+    """Rows ready for work on whole texts: at least one partition for each core, and the session's Arrow
+    batches no larger than TEXT_ROWS, since each of a core's batches is held by Spark and by Python."""
+    spark = df.sparkSession
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, TEXT_ROWS)
+    want = spark.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 

@@ -185,12 +185,12 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFr
     if net is None:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    rows = docs.select(*keep)
+    schema = common.with_fields(rows, "lang_pred string, score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            strings = common.plain_strings(batch.column("__text"))
+            strings = common.plain_strings(batch.column(text))
             for a, b in common.text_slices(strings):
                 lang, score = predict_slice(strings.slice(a, b - a), shared.value)
                 columns = [batch.column(c).slice(a, b - a) for c in keep]

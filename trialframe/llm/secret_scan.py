@@ -193,14 +193,14 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     in code points, ``base`` the fixed formats, ``spans`` with the runs that the battery adds."""
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in ("base", "spans", "found")]
-    rows = common.spread(docs.select(*keep, F.col(text).cast("string").alias("__text")))
-    model = spark.sparkContext.broadcast(TextModel(pair_counts(rows.select(F.col("__text").alias("text")))))
+    rows = common.spread(docs.select(*keep))
+    model = spark.sparkContext.broadcast(TextModel(pair_counts(rows.select(F.col(text).alias("text")))))
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     more = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            strings = common.plain_strings(batch.column("__text"))
+            strings = common.plain_strings(batch.column(text))
             for a, b in common.text_slices(strings):
                 base, found = [], []
                 for value in strings.slice(a, b - a):
@@ -240,13 +240,13 @@ def digest(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans become one."""
     names, schema = docs.columns, docs.schema
-    # the row travels as one struct, so that its columns' names clash with none of the scan's
-    found = scan(docs.select(F.struct(*names).alias("row")), "row.text")
+    other = {n: f"__{n}" for n in ("base", "spans", "found") if n in names}
+    found = scan(docs.withColumnsRenamed(other)).drop("base").withColumnRenamed("spans", "__found").withColumnsRenamed({v: k for k, v in other.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for value, spans in zip(batch.column("text"), batch.column("__spans"), strict=True):
+            for value, spans in zip(batch.column("text"), batch.column("__found"), strict=True):
                 text, at, parts = value.as_py(), 0, []
                 for s in spans.as_py() or []:
                     if s["start"] >= at:
@@ -256,4 +256,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return found.select("row.*", F.col("spans").alias("__spans")).mapInArrow(run, schema)
+    return found.select(*names, "__found").mapInArrow(run, schema)
