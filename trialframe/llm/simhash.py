@@ -82,7 +82,8 @@ def ball_links(prints: DataFrame) -> DataFrame:
     each other one, which joins the same components.
     """
     flips = F.array(F.lit(0), *[F.lit((1 << b) - (1 << 64 if b == 63 else 0)) for b in range(64)])
-    variants = prints.select("fp").distinct().select("fp", F.explode(flips).alias("flip"))
+    each = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small as it is, the table becomes 65 times as large
+    variants = prints.select("fp").distinct().repartition(each, F.xxhash64("fp")).select("fp", F.explode(flips).alias("flip"))
     variants = variants.select(F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"), "flip")
     groups = variants.groupBy("variant").agg(F.bit_or("flip").alias("flips"), F.max(F.col("flip") == 0).alias("own"))
     groups = groups.filter(F.bit_count("flips") + F.col("own").cast("int") > 1)
