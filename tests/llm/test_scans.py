@@ -160,6 +160,21 @@ def test_battery():
     assert secret_scan.encoding("deadbeef") == "hex" and secret_scan.encoding("XY2=") == "base32" and secret_scan.encoding("a+-") is None
 
 
+def test_keys_with_names_and_paths():
+    key, url = "ztys355NrAlpgsJGcDc2bhARePpktWyNYxSWHv2t", "zty-355NrAlp_sJGcDc2bhARePpktWyNYxSWHv2t"
+    model = secret_scan.TextModel(np.zeros((secret_scan.N_SYMBOLS, secret_scan.N_SYMBOLS)) + np.r_[1000.0, np.ones(secret_scan.N_SYMBOLS - 1)])
+
+    def found(text):
+        return {text[a:b] for a, b, _ in secret_scan.candidates(text, secret_scan.base_spans(text, text.encode()), model)}
+
+    for text in (f"sig={key}", f"session_id={key}==", f"a=b&SIG={key}&c", f"some-path/{key}", f"x/y_z/id={key}", f"{key}=is_what/it_was"):
+        assert any(x.rstrip("=") == key for x in found(text)), text
+    assert url in found(f"path/{url}") and url in found(f"sig={url}") and url in found(f"p/q={url}")
+    assert found(key) == {key} and found(f"{key}==") == {f"{key}=="}
+    # what the fixed formats hold isn't added again, but what stands beside it is
+    assert found(f"token={key}") == set() and found(f"sig={key}=token=abcdefgh1") == {key}
+
+
 def test_redaction(spark, odd_docs, no_docs):
     rows = spark.createDataFrame([(i, t, "k") for i, t in enumerate([*SECRETS, None, ""])], "doc_id long, text string, base string")
     out = {r.doc_id: r for r in secret_scan.redact(rows.drop("base")).collect()}

@@ -5,7 +5,9 @@ access keys, and long hexadecimal runs. Matches of a kind are leftmost and don't
 that are too short are dropped after matching.
 
 *Battery.* Every other run of at least ``MIN_RUN`` key characters is a candidate. Its encoding (hex,
-base32, base64 or alphanumeric) comes from its characters. Three tests ask whether it looks like
+base32, base64 or alphanumeric) comes from its characters. A run that no alphabet holds, such as NAME=KEY
+or path/KEY, is split: at ``=`` inside it, and a part that still has no alphabet at ``/`` and ``+`` and also, as a
+second reading, at ``-`` and ``_``. Each piece of at least ``MIN_RUN`` is a candidate; pieces of both readings may overlap. Three tests ask whether it looks like
 uniform draws from that alphabet: chi-squared on the characters, the number of runs above and
 below the alphabet's middle, and the correlation of neighbours. A candidate must pass all three
 at level ``ALPHA`` divided by three. Against it stands the corpus: letter-pair counts over all documents
@@ -64,6 +66,29 @@ def encoding(run: str) -> str | None:
     return next((name for name, letters in ALPHABETS.items() if used and used <= set(letters)), None)
 
 
+#: parts between ``=``, the last with its padding; then two readings of a part
+_PART = re.compile(r"[^=]+(?:=+\Z)?")
+_READINGS = (re.compile(r"[^+/]+"), re.compile(r"[^_-]+"))
+
+
+def run_pieces(run: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, alphabet) of what is tested of a run: all of it if one alphabet holds it, or else its pieces of MIN_RUN or more."""
+    if (name := encoding(run)) is not None:
+        yield 0, len(run), name
+        return
+    for part in _PART.finditer(run):
+        a, b = part.span()
+        if b - a < MIN_RUN:
+            continue
+        if (name := encoding(part[0])) is not None:
+            yield a, b, name
+            continue
+        for reading in _READINGS:
+            for m in reading.finditer(run, a, b):
+                if m.end() - m.start() >= MIN_RUN and (name := encoding(m[0])) is not None:
+                    yield *m.span(), name
+
+
 def two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -148,15 +173,13 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int]], model: TextModel) -> Iterator[tuple[int, int, float]]:
     """(start, end, p) of the runs outside the fixed formats that pass the battery."""
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in base):
-            continue
-        name = encoding(m[0])
-        if name is None:
-            continue
-        p = model.p_value(m[0], name)
-        if p < 1 and min(battery(m[0], name)) >= ALPHA / 3:
-            yield a, b, p
+        for x, y, name in run_pieces(m[0]):
+            a, b = m.start() + x, m.start() + y
+            if any(s < b and a < e for s, _, e in base):
+                continue
+            p = model.p_value(text[a:b], name)
+            if p < 1 and min(battery(text[a:b], name)) >= ALPHA / 3:
+                yield a, b, p
 
 
 def length_class(n):
