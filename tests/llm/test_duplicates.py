@@ -113,6 +113,30 @@ def test_near_copies_are_found_and_others_stay(spark, planted):
     assert near_copies.without_copies(df).count() == len(set(got.values()))
 
 
+@pytest.mark.parametrize("orders", [3, 20])
+def test_near_copies_behind_an_outlier(spark, orders):
+    """Texts with equal words, and so equal fingerprints, in several orders; the least id is like none of the others."""
+    rng = random.Random(orders)
+    letters = ["t%d" % i for i in range(200)]
+    texts = [rng.sample(letters, len(letters))]
+    for _ in range(orders):
+        order = rng.sample(letters, len(letters))
+        for _ in range(4):
+            t = list(order)
+            for k in rng.sample(range(0, len(t) - 1, 2), rng.randrange(5)):
+                t[k], t[k + 1] = t[k + 1], t[k]
+            texts.append(t)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = Sets(range(len(rows)))
+    for a, x in rows:
+        for b, y in rows[:a]:
+            if similarity(x, y) >= 0.8:
+                low, high = sorted((sets.top(a), sets.top(b)))
+                sets.up[high] = low
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.groups(df).collect()} == {i: sets.top(i) for i, _ in rows}
+
+
 def test_near_copies_on_odd_rows(odd_docs, no_docs):
     stay = near_copies.without_copies(odd_docs)
     rows = stay.collect()

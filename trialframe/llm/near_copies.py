@@ -11,8 +11,11 @@ Candidates then have to be within ``FAR`` bits over all tables together, and las
 sets are compared. Every text between which a verified link exists joins one component.
 
 Exact copies (equal words) are merged before; groups around a variant are kept as bit maps of
-at most BITS + 1 fingerprints; texts with equal short fingerprints are linked to the first of
-them. No group is gathered and no group's pairs are listed.
+at most BITS + 1 fingerprints. A first pass compares texts with the first text of their fingerprint, and those
+with the first of their group. Where that leaves a group in more than one component, a second pass compares its other
+texts: in groups of up to LISTED texts all pairs between components are listed; the texts of larger groups meet in
+groups of rare shingles, one of which any two near-copies must have in common, again first with the least
+text of each group and then all pairs between components. No group is gathered.
 """
 
 from __future__ import annotations
@@ -21,12 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, components, simhash, words
 
 BITS, TABLES, FAR = 32, 6, 48
+#: pairs are listed in groups of up to this many texts
+LISTED = BITS
 #: each holds the bits of two tables
 SALTS = (0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 SIGNS = tuple(f"s{i}" for i in range(1, TABLES // 2 + 1))
@@ -78,15 +83,18 @@ def _signed(docs: DataFrame) -> DataFrame:
     return common.spread(rows).mapInArrow(run, "doc_id long, d1 long, d2 long, " + "".join(f"{s} long, " for s in SIGNS) + "n long")
 
 
-def candidate_links(heads: DataFrame) -> DataFrame:
-    """(a, b): distinct pairs of ids, a < b, whose fingerprints are within two bits in some table."""
+def _tabled(heads: DataFrame) -> DataFrame:
+    """(doc_id, fp): each text's fingerprints, with the table's number above the bits."""
     mask = (1 << BITS) - 1
     prints = [F.col(s).bitwiseAND(mask) if not high else F.shiftrightunsigned(s, BITS) for s in SIGNS for high in (0, 1)]
     tabled = F.array(*[F.lit(t << BITS).bitwiseOR(p) for t, p in enumerate(prints)])
-    keyed = heads.select("doc_id", F.explode(tabled).alias("fp"))
-    first = keyed.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    first = common.written(first, "prints")
-    same = keyed.join(first.filter("n > 1"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    return heads.select("doc_id", F.explode(tabled).alias("fp"))
+
+
+def balls(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: (fp, first, n), each fingerprint's least id and number of ids, and (variant, ids, n), the groups of
+    two or more fingerprints within one bit of a variant: ``ids`` has at most BITS + 1 pairs (first, fp), n is the number of texts."""
+    first = common.written(_tabled(heads).groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "prints")
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(BITS)])
     variants = first.repartition(int(first.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp").select("fp", F.explode(flips).alias("flip"))
     groups = variants.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("variant")).agg(F.bit_or("flip").alias("flips"), F.max(F.col("flip") == 0).alias("own"))
@@ -94,14 +102,58 @@ def candidate_links(heads: DataFrame) -> DataFrame:
     each = F.filter(F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)), lambda f: f.bitwiseAND(F.col("flips")) != 0)
     members = F.concat(F.when(F.col("own"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<bigint>")), each)
     member = groups.select("variant", F.explode(members).alias("flip")).select("variant", F.col("variant").bitwiseXOR(F.col("flip")).alias("fp"))
-    # at most BITS + 1 ids meet here; each is linked to the least and to the next one
-    ids = member.join(first.select("fp", "first"), "fp").groupBy("variant").agg(F.array_sort(F.collect_set("first")).alias("ids")).filter(F.size("ids") > 1)
+    # at most BITS + 1 fingerprints meet here
+    ids = member.join(first, "fp").groupBy("variant").agg(F.array_sort(F.collect_set(F.struct("first", "fp"))).alias("ids"), F.sum("n").alias("n"))
+    return first, common.written(ids, "balls")
+
+
+def star_links(heads: DataFrame, first: DataFrame, ball: DataFrame) -> DataFrame:
+    """(a, b): the first pass's pairs of ids, a < b. Each fingerprint's texts are linked to the first of them, and the
+    first texts of the fingerprints around a variant to the least and to the next one."""
+    same = _tabled(heads).join(first.filter("n > 1"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    ids = ball.select(F.col("ids.first").alias("ids"))
     pairs = F.transform(F.slice("ids", 2, BITS + 1), lambda x, i: F.struct(F.element_at("ids", 1).alias("a"), F.element_at("ids", i + 1).alias("c"), x.alias("b")))
-    ball = ids.select(F.explode(pairs).alias("p")).select(F.explode(F.array(F.struct("p.a", "p.b"), F.struct(F.col("p.c").alias("a"), "p.b"))).alias("q")).select("q.a", "q.b")
-    links = ball.union(same).filter("a <> b")
+    links = ids.select(F.explode(pairs).alias("p")).select(F.explode(F.array(F.struct("p.a", "p.b"), F.struct(F.col("p.c").alias("a"), "p.b"))).alias("q")).select("q.a", "q.b")
+    links = links.union(same).filter("a <> b")
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def ball_members(heads: DataFrame, first: DataFrame, ball: DataFrame) -> DataFrame:
+    """(key, doc_id): all texts of each group that holds three or more of them; the pairs of smaller groups are in the first pass."""
+    around = ball.filter("n > 2").select(F.col("variant").alias("key"), F.explode("ids.fp").alias("fp"))
+    equal = first.filter("n > 2").select(F.col("fp").alias("key"), "fp")
+    return _tabled(heads).join(around.union(equal).distinct(), "fp").select("key", "doc_id")
+
+
+def still_open(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, doc_id, component, n): the members of groups whose n texts are in more than one component so far."""
+    known = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    known = common.written(known, "members")
+    mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return known.join(mixed.filter("n > 2 AND lo <> hi").select("key", "n"), "key")
+
+
+def crossing(members: DataFrame) -> DataFrame:
+    """(a, b): all pairs within a group whose components differ, a < b."""
+    left, right = (members.select("key", F.col("doc_id").alias(i), F.col("component").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
+    return left.join(right, "key").filter("a < b AND ca <> cb").select("a", "b").distinct()
+
+
+def rare_shingles(sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, doc_id): of each set the shingles that a set of at least this similarity must share one of.
+
+    Two such sets have ``similarity`` of the larger one in common, so of any order of all shingles, the first
+    1 - ``similarity`` of each and one more can't be disjoint. Rare shingles come first, so what a whole family of texts
+    has in common makes no group. Shingles of one set only are counted, not kept.
+    """
+    rows = sets.select("doc_id", F.xxhash64("h").alias("own"), F.size("h").alias("size"), F.explode("h").alias("key"))
+    shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+    each = Window.partitionBy("doc_id", "own")
+    ranked = shared.withColumn("rank", F.row_number().over(each.orderBy("n", "key"))).withColumn("shared", F.count("*").over(each))
+    prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-6) + 1
+    return ranked.filter(F.col("rank") + F.col("size") - F.col("shared") <= prefix).select("key", "doc_id").distinct()
+
+
 def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, h): fingerprints of each text's distinct word shingles, in order; the whole text if it is shorter."""
 
@@ -129,14 +181,16 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
     heads = signed.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), *[F.first(s).alias(s) for s in SIGNS], F.max("n").alias("n"))
     heads = common.written(heads, "heads")
     sign = heads.groupBy("doc_id").agg(F.min(F.struct("d1", *SIGNS, "n")).alias("x")).select("doc_id", *[f"x.{s}" for s in SIGNS], "x.n").filter("n > 0")
-    links = candidate_links(sign)
-    far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
-    close = links.join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id")).filter(sum(far[1:], far[0]) <= FAR)
-    close = common.written(close.filter(F.least("l.n", "r.n") >= similarity * 0.5 * F.greatest("l.n", "r.n")).select("a", "b"), "close")
-    wanted = common.written(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(common.small(wanted), "doc_id", "left_semi")
-    sets = common.written(_shingles(texts, shingle), "shingles")
-    both = close.join(sets.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def near(links: DataFrame) -> DataFrame:
+        far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
+        close = links.join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id"))
+        close = close.filter(F.least("l.n", "r.n") >= similarity * 0.5 * F.greatest("l.n", "r.n"))
+        return close.filter(sum(far[1:], far[0]) <= FAR).select("a", "b")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return common.written(_shingles(texts.join(common.small(wanted), "doc_id", "left_semi"), shingle), "shingles")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,9 +201,33 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
                 ok[i] = shared >= similarity * (len(x) + len(y) - shared)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
-    verified = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
-    with common.arrow_batches(docs.sparkSession, 500):  # a row holds two whole shingle sets
-        classes = components.components(verified)
+    def settled(classes: DataFrame | None, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """The components after the pairs that are similar enough are linked as well."""
+        pairs = common.written(pairs, "close")
+        if classes is not None and pairs.isEmpty():
+            return classes
+        if sets is None:
+            sets = sets_of(common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted"))
+        both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
+        links = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+        if classes is not None:
+            links = links.union(classes.select("node", "component"))
+        with common.arrow_batches(docs.sparkSession, 500):  # a row holds two whole shingle sets
+            return components.components(links)
+
+    first, ball = balls(sign)
+    stars = star_links(sign, first, ball)
+    classes = settled(None, near(stars))
+    # a link that was not verified says nothing about the others of its group
+    rest = common.written(still_open(ball_members(sign, first, ball), classes), "open")
+    classes = settled(classes, near(crossing(rest.filter(F.col("n") <= LISTED))))
+    wanted = common.written(rest.filter(F.col("n") > LISTED).select("doc_id").distinct(), "wanted")
+    if not wanted.isEmpty():
+        sets = sets_of(wanted)
+        rare = common.written(rare_shingles(sets, similarity), "rare")
+        star = rare.join(rare.groupBy("key").agg(F.min("doc_id").alias("a")), "key").select("a", F.col("doc_id").alias("b"))
+        classes = settled(classes, star.filter("a <> b").distinct(), sets)
+        classes = settled(classes, crossing(still_open(rare, classes)), sets)
     member = heads.select("d1", "d2", F.col("doc_id").alias("head")).join(classes, F.col("head") == F.col("node"), "left")
     member = member.select("d1", "d2", F.coalesce("component", "head").alias("component_id"))
     return signed.join(member, ["d1", "d2"]).select("doc_id", "component_id")
