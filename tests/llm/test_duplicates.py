@@ -137,6 +137,17 @@ def test_near_copies_behind_an_outlier(spark, orders):
     assert {r.doc_id: r.component_id for r in near_copies.groups(df).collect()} == {i: sets.top(i) for i, _ in rows}
 
 
+def test_near_copies_with_repeated_passages(spark):
+    """Equal shingle sets, or nearly so, with other numbers of repeats; and a text that holds another one only."""
+    rng = random.Random(5)
+    line, text, other = (" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(30)) for c in "abc")
+    rows = [(1, " ".join([line] * 10)), (2, " ".join([line] * 40)), (3, text), (4, " ".join([text] * 3)), (5, other), (6, f"{other} {line[::-1]}")]
+    texts = dict(rows)
+    assert similarity(texts[1], texts[2]) == 1 and similarity(texts[3], texts[4]) >= 0.8 > similarity(texts[5], texts[6])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.groups(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
+
+
 def test_near_copies_on_odd_rows(odd_docs, no_docs):
     stay = near_copies.without_copies(odd_docs)
     rows = stay.collect()

@@ -186,7 +186,6 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
     def near(links: DataFrame) -> DataFrame:
         far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
         close = links.join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id"))
-        close = close.filter(F.least("l.n", "r.n") >= similarity * 0.5 * F.greatest("l.n", "r.n"))
         return close.filter(sum(far[1:], far[0]) <= FAR).select("a", "b")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -209,6 +208,8 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
         if sets is None:
             sets = sets_of(common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted"))
         both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
+        # a bound on the similarity of two sets
+        both = both.filter(F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y")))
         links = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
         if classes is not None:
             links = links.union(classes.select("node", "component"))
