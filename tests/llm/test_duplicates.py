@@ -198,6 +198,33 @@ def test_repeats_against_brute_force(spark, docs, rounds):
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in out)
 
 
+def thue_morse(n, a, b):
+    return [b if i.bit_count() % 2 else a for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def structured(spark):
+    """Texts that differ only in the arrangement of two letters within a word, or of two words."""
+    start = ["s%d" % i for i in range(11)]
+    end = ["e%d" % i for i in range(11)]
+    rows = [(i, " ".join([*start, "".join(thue_morse(1024, *pair)), *end])) for i, pair in enumerate(("ab", "ba"))]
+    rows += [(10 + i, " ".join(thue_morse(1024, *pair))) for i, pair in enumerate((("x", "y"), ("y", "x"), ("p", "q")))]
+    return rows
+
+
+def test_structured_words_and_texts_are_told_apart(spark, structured):
+    df = spark.createDataFrame(structured, "doc_id long, text string")
+    out = recompress.remove_repeats(df).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out} == brute_removal(structured)
+    assert {r.doc_id: r.n_removed for r in out}[1] == 0
+    sets = Sets([i for i, _ in structured])
+    for a, x in structured:
+        for b, y in structured:
+            if a < b and similarity(x, y) >= 0.8:
+                sets.join(a, b)
+    assert {r.doc_id: r.component_id for r in near_copies.groups(df).collect()} == {i: sets.top(i) for i, _ in structured}
+
+
 def test_repeats_on_odd_rows(odd_docs, no_docs):
     out = recompress.remove_repeats(odd_docs).collect()
     assert len(out) == odd_docs.count()

@@ -91,22 +91,91 @@ def test_merge_rounds_equal_the_heap(every):
         assert flat[ends[i] - counts[i] : ends[i]].tolist() == merges.merge_long(own, table.plain(), int(table.n))
 
 
-def test_distinct_words_survive_equal_fingerprints():
-    symbols = np.array([1, 2, 1, 3, 1, 2])
-    first, group = words.distinct(symbols, np.array([0, 2, 4]), np.array([2, 2, 2]), np.zeros(3, np.uint64))
-    assert first.tolist() == [0, 1] and group.tolist() == [0, 1, 0]
+def test_distinct_words():
+    rng = np.random.default_rng(2)
+    h1, h2 = rng.integers(0, 40, 3000).astype(np.uint64), rng.integers(0, 3, 3000).astype(np.uint64)
+    h1[::2] <<= np.uint64(40)  # both above and below the bits that rows are sorted by
+    first, group = words.distinct(h1, h2)
+    assert (h1[first][group] == h1).all() and (h2[first][group] == h2).all()
+    assert [len(x) for x in words.distinct(h1[:0], h2[:0])] == [0, 0]
+
+
+def thue_morse(n, a, b):
+    return [b if i.bit_count() % 2 else a for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [16, 256, 1024])
+def test_word_hashes_tell_structured_words_apart(n):
+    kinds = ["".join(thue_morse(n, "a", "b")), "".join(thue_morse(n, "b", "a")), "a" * n, "b" * n, "a" * (n - 1) + "b", "ab" * (n // 2)]
+    raw = np.frombuffer("".join(kinds).encode(), np.uint8)
+    starts = np.arange(len(kinds)) * n
+    for h in words.word_hashes(raw, starts, np.full(len(kinds), n), 2):
+        assert len(set(h.tolist())) == len(kinds)
+    one, two = words.word_hashes(np.frombuffer(b"ab", np.uint8), np.array([0, 1]), np.array([1, 1]))[0]
+    rows = [thue_morse(n, one, two), thue_morse(n, two, one), [one] * n, [one, two] * (n // 2)]
+    flat = np.array([x for r in rows for x in r], np.uint64)
+    starts = np.arange(len(rows)) * n
+    assert len(set(words.range_hashes(flat, starts, starts + n).tolist())) == len(rows)
+
+
+def test_range_hashes_depend_on_content_alone():
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 3, 500).astype(np.uint64)
+    starts = rng.integers(0, 480, 2000)
+    ends = starts + rng.integers(0, 21, 2000)
+    seen = {}
+    for a, b, key in zip(starts.tolist(), ends.tolist(), words.range_hashes(h, starts, ends).tolist(), strict=True):
+        assert seen.setdefault(key, h[a:b].tobytes()) == h[a:b].tobytes()
+    assert len(seen) == len({h[a:b].tobytes() for a, b in zip(starts, ends, strict=True)})
+
+
+def test_recent_words_are_bounded_and_right():
+    recent, rng = words.Recent(np.dtype(np.int64), slots=8, pool=100), random.Random(7)
+
+    def make(kinds):
+        return np.array([x for w in kinds for x in w], np.int64), np.array([len(w) for w in kinds])
+
+    for _ in range(200):
+        kinds = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(6))) for _ in range(5)]
+        lens = np.array([len(w) for w in kinds])
+        raw = np.frombuffer(b"".join(kinds), np.uint8)
+        at, n = recent.of(raw, np.cumsum(lens) - lens, lens, make)
+        assert [bytes(recent.values[a : a + k].astype(np.uint8)) for a, k in zip(at, n, strict=True)] == kinds
+        assert recent.used <= 130
 
 
-def test_recent_words_are_bounded():
-    recent = words.Recent(10)
-    for k in range(20):
-        assert recent.of([str(k), str(k + 1)], lambda w: [x + "!" for x in w]) == [f"{k}!", f"{k + 1}!"]
-    assert len(recent.new) + len(recent.old) <= 24
+@pytest.fixture(scope="module")
+def other_bpe(tmp_path_factory):
+    """The vocabulary with its first 200 merges only."""
+    import json
+
+    with open(BPE, encoding="utf-8") as file:
+        spec = json.load(file)
+    model = spec["model"]
+    made = {"".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"][200:]}
+    model["merges"] = model["merges"][:200]
+    model["vocab"] = {t: i for t, i in model["vocab"].items() if t not in made}
+    path = tmp_path_factory.mktemp("vocab") / "other.json"
+    path.write_text(json.dumps(spec))
+    return str(path)
+
+
+def test_two_vocabularies_in_one_session(spark, docs, library, other_bpe):
+    from tokenizers import Tokenizer
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for path in (other_bpe, BPE, other_bpe):
+        tokenizer = Tokenizer.from_file(path)
+        ids = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+        assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, path).collect()} == {i: len(x) for i, x in ids.items()}
+        out = common.new_path(spark, "files")
+        token_files.write_files(docs, path, out)
+        assert {r.doc_id: r.ids for r in token_files.read_files(spark, out, with_ids=True).collect()} == {i: [*x, 0] for i, x in ids.items()}
 
 
 def code_round_trip(ids, n):
     counts = dict(zip(*[x.tolist() for x in np.unique(ids, return_counts=True)], strict=True))
-    code = token_files.Code(counts, int(ids.max()) + 1)
+    code = token_files.Code.of_counts(counts, int(ids.max()) + 1)
     raw, offsets, marks = code.pack(ids, n)
     starts = np.concatenate([m + o * 8 for m, o in zip(marks, offsets[:-1], strict=True)])
     sizes = np.concatenate([np.minimum(token_files.STEP, k - np.arange(0, k, token_files.STEP)) for k in n])
@@ -134,8 +203,8 @@ def test_length_limit_on_steep_counts():
 
 def test_files_read_back(spark, odd_docs, library):
     path = common.new_path(spark, "files")
-    code = token_files.write_files(odd_docs, BPE, path)
-    rows = token_files.read_files(spark, path, code, with_ids=True).collect()
+    token_files.write_files(odd_docs, BPE, path)
+    rows = token_files.read_files(spark.newSession(), path, with_ids=True).collect()  # the files are enough
     assert len(rows) == odd_docs.count()
     texts = {r.doc_id: r.text or "" for r in odd_docs.collect() if r.doc_id is not None}
     before = 0
@@ -151,5 +220,5 @@ def test_files_read_back(spark, odd_docs, library):
 
 def test_no_documents_no_files(spark, no_docs):
     path = common.new_path(spark, "files")
-    code = token_files.write_files(no_docs, BPE, path)
-    assert token_files.read_files(spark, path, code).count() == 0
+    token_files.write_files(no_docs, BPE, path)
+    assert token_files.read_files(spark, path).count() == 0

@@ -53,6 +53,14 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            drop_path(df.sparkSession, files[0].rpartition("/")[0])
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table of our own that nothing reads any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

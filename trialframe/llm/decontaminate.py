@@ -54,7 +54,7 @@ class ItemIndex:
     def __init__(self, items: list[Row], shingle: int, threshold: float):
         strings = common.plain_strings(pa.array([r["text"] for r in items], pa.string()))
         raw, starts, lens, bounds = slice_words(strings)
-        hashes = words.word_hashes(raw, starts, lens, SEPARATORS)
+        (hashes,) = words.word_hashes(raw, starts, lens)
         data = raw.tobytes()
         self.items: list[tuple[int, int, set[bytes]]] = []
         probes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
@@ -81,7 +81,7 @@ class ItemIndex:
     def search(self, strings: pa.LargeStringArray, threshold: float) -> list[tuple[int, int, int, int]]:
         """(text number, item_id, shingles held, shingles of the item) of each contained item."""
         raw, starts, lens, bounds = slice_words(strings)
-        hashes = words.word_hashes(raw, starts, lens, SEPARATORS)
+        (hashes,) = words.word_hashes(raw, starts, lens)
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         pairs = set()
         for width, (keys, items, seen) in self.probes.items():

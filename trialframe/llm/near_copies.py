@@ -43,13 +43,8 @@ def signatures(strings: pa.LargeStringArray) -> tuple[np.ndarray, ...]:
     raw = simhash._FOLD[raw]
     starts, lens, bounds = words.byte_words(raw, offsets)
     n = np.diff(bounds)
-    h = words.word_hashes(raw, starts, lens)
-    digests = []
-    for base in (words._STEP, 0xC2B2AE3D27D4EB4F):
-        own = words.mixed(h ^ np.uint64(base))
-        prefix = np.r_[np.zeros(1, np.uint64), np.cumsum(own * words.powers(base, len(own)), dtype=np.uint64)]
-        span = (prefix[bounds[1:]] - prefix[bounds[:-1]]) * words.powers(pow(base, -1, 1 << 64), len(own) + 1)[bounds[:-1]]
-        digests.append(words.mixed(span + n.astype(np.uint64)).view(np.int64))
+    (h,) = words.word_hashes(raw, starts, lens)
+    digests = words.sequence_digests(raw, starts, lens, bounds[:-1], bounds[1:])
     owner = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((h, owner))
     a, b = owner[order], h[order]
@@ -164,7 +159,7 @@ def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
                 raw, offsets = common.byte_view(strings.slice(a, b - a))
                 raw = simhash._FOLD[raw]
                 starts, lens, bounds = words.byte_words(raw, offsets)
-                h = words.word_hashes(raw, starts, lens)
+                (h,) = words.word_hashes(raw, starts, lens)
                 out = [np.unique(words.window_hashes(h[x:y], min(shingle, y - x)) if y > x else h[:0]).view(np.int64) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "h"])
 

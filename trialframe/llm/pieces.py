@@ -129,7 +129,7 @@ def encode_slice(strings: pa.LargeStringArray, model: PieceModel) -> Iterator[tu
     is_start[text_starts] = True
     starts = np.flatnonzero(is_start[:-1])
     lens = np.diff(np.r_[starts, len(padded)])
-    first, group = words.distinct(padded, starts, lens, words.stretch_hashes(words.char_codes()[padded], starts, lens))
+    first, group = words.distinct(*words.word_hashes(padded.view(np.uint8), starts * 4, lens * 4, 2))
     ids, counts = model.encode(common.ragged_take(padded, starts[first], lens[first]), lens[first])
     bounds = np.searchsorted(starts, text_starts)
     n_tokens = common.sums(counts[group], bounds)

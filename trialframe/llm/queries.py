@@ -66,8 +66,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.new_path(spark, "token-files")
-    code = token_files.write_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
-    return token_files.read_files(spark, path, code)
+    token_files.write_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
+    return token_files.read_files(spark, path)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,11 @@ whose deciding stretch lies in the window occurs in both places.
 (words are level 0, so there always is one). The choice depends on the window's words alone. Spark
 counts anchors over the corpus: only windows whose anchor occurs twice can repeat.
 
-*Verification.* Those windows are grouped by a 128-bit fingerprint of their words, and each
-that isn't the first of its group marks its words for removal.
+*Verification.* Those windows are grouped by the 128-bit BLAKE2 digest of their words, joined by blanks, and each
+that isn't the first of its group marks its words for removal. So equal names or anchors of different words cost a
+look and change nothing.
 
-Skew: exact copies of a text are set aside first (all but the first lose everything). Anchor
+Skew: exact copies of a text (equal digests of all its words) are set aside first: all but the first lose everything. Anchor
 counts are aggregated before the shuffle, and the anchors' join is one that adaptive execution
 splits. A task sends each distinct window once, so that a group has at most one row per task
 and flush. No group of occurrences is ever gathered.
@@ -39,19 +40,10 @@ from pyspark.sql import functions as F
 from . import common, words
 
 _U = np.uint64
-_BASE2 = 0xC2B2AE3D27D4EB4F
 #: candidate windows that a task holds before it sends them on
 FLUSH = 2_000_000
 
 
-def range_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Fingerprint of symbols[start:end] for each start and end."""
-    prefix = np.zeros(len(symbols) + 1, _U)
-    np.cumsum(symbols * words.powers(base, len(symbols)), out=prefix[1:])
-    inverse = words.powers(pow(base, -1, 1 << 64), len(symbols) + 1)
-    return words.mixed((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(_U) * _U(0x9FB21C651E98DF25))
-
-
 class Level:
     """Symbols of one level: names, their words [start, end), and the words [da, db] that decided them.
 
@@ -164,7 +156,7 @@ def window_anchors(tokens: np.ndarray, bounds: np.ndarray, window: int, rounds:
         chosen = np.where(order[b] < order[a], b, a)
         used = np.unique(chosen)
         key = np.zeros(len(level.name), _U)
-        key[used] = range_hashes(tokens, level.da[used], level.db[used] + 1, words._STEP) + _U(number)
+        key[used] = words.range_hashes(tokens, level.da[used], level.db[used] + 1) + _U(number)
         keys[p], places[p] = key[chosen], chosen * (rounds + 1) + number
     return starts, keys[starts], places[starts]
 
@@ -174,16 +166,6 @@ def _texts(strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.nda
     return raw, *words.byte_words(raw, offsets)
 
 
-def _digests(place: pa.Array, strings: pa.LargeStringArray) -> pa.RecordBatch:
-    raw, starts, lens, bounds = _texts(strings)
-    n = np.diff(bounds)
-    parts = [place]
-    for base in (words._STEP, _BASE2):
-        h = words.word_hashes(raw, starts, lens, base=base)
-        parts.append(pa.array(range_hashes(h, bounds[:-1], bounds[1:], base).view(np.int64)))
-    return pa.RecordBatch.from_arrays([*parts, pa.array(n, pa.int64())], ["place", "d1", "d2", "n_words"])
-
-
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.LargeStringArray]]:
     for batch in batches:
         strings = common.plain_strings(batch.column("text"))
@@ -201,17 +183,22 @@ def remove_repeats(docs: DataFrame, window: int = 20, rounds: int = 3, kept: boo
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, strings in _sliced(batches):
-            yield _digests(batch.column("place"), strings)
+            raw, starts, lens, bounds = _texts(strings)
+            long = np.flatnonzero(np.diff(bounds) >= window)
+            d1, d2 = words.sequence_digests(raw, starts, lens, bounds[long], bounds[long + 1])
+            yield pa.RecordBatch.from_arrays([batch.column("place").take(pa.array(long)), pa.array(d1), pa.array(d2), pa.array(np.diff(bounds)[long])], ["place", "d1", "d2", "n_words"])
 
-    info = scanned.mapInArrow(digests, "place long, d1 long, d2 long, n_words long").filter(F.col("n_words") >= window)
+    info = common.written(scanned.mapInArrow(digests, "place long, d1 long, d2 long, n_words long"), "digests")
     heads = info.groupBy("d1", "d2").agg(F.min("place").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = info.join(heads, ["d1", "d2"]).filter("place <> head").select("place", "n_words")
-    copies = common.written(copies, "copies")
+    # a table of its own, so that the rows of a large group of copies can be split between tasks
+    heads = common.written(heads, "heads")
+    copies = common.written(info.join(common.small(heads), ["d1", "d2"]).filter("place <> head").select("place", "n_words"), "copies")
+    common.drop(info, heads)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, strings in _sliced(batches):
             raw, starts, lens, bounds = _texts(strings)
-            at, keys, anchor = window_anchors(words.word_hashes(raw, starts, lens), bounds, window, rounds)
+            at, keys, anchor = window_anchors(words.word_hashes(raw, starts, lens)[0], bounds, window, rounds)
             if not len(at):
                 continue
             head = np.unique(anchor, return_index=True)[1]  # each anchor once
@@ -233,8 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, rounds: int = 3, kept: boo
         size = 0
         for batch, strings in _sliced(batches):
             raw, starts, lens, bounds = _texts(strings)
-            h1, h2 = (words.word_hashes(raw, starts, lens, base=b) for b in (words._STEP, _BASE2))
-            at, keys, _ = window_anchors(h1, bounds, window, rounds)
+            at, keys, _ = window_anchors(words.word_hashes(raw, starts, lens)[0], bounds, window, rounds)
             owner = np.searchsorted(bounds, at, "right") - 1
             # an anchor is looked for among the shared ones of its own text
             lists = batch.column("keys")
@@ -247,7 +233,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, rounds: int = 3, kept: boo
             hit = known[near] == probe if len(known) else np.zeros(len(at), bool)
             at, owner = at[hit], owner[hit]
             place = np.asarray(batch.column("place"))[owner]
-            held.append((range_hashes(h1, at, at + window, words._STEP), range_hashes(h2, at, at + window, _BASE2), place, at - bounds[owner]))
+            held.append((*words.sequence_digests(raw, starts, lens, at, at + window), place, at - bounds[owner]))
             size += len(at)
             if size >= FLUSH:
                 yield from _send(held)
@@ -313,9 +299,8 @@ def _send(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
     size = np.diff(np.r_[head, len(late)])
     s = late[head]
     # stretches get keys of their own, so that they take part in no group
-    own = words.mixed(place[s].astype(_U) * _U(words._STEP) + pos[s].astype(_U))
+    own = words.mixed(words.mixed(place[s].astype(_U)) + pos[s].astype(_U)).view(np.int64)
     columns = [np.r_[w1[f], own], np.r_[w2[f], ~own], np.r_[place[f], place[s]], np.r_[pos[f], pos[s]].astype(np.int32), np.r_[np.zeros(len(f), np.int32), size.astype(np.int32)]]
-    columns = [c.view(np.int64) if c.dtype == _U else c for c in columns]
     for i in range(0, len(columns[0]), 200_000):
         yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 200_000]) for c in columns], ["w1", "w2", "place", "pos", "size"])
 

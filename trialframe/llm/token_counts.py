@@ -4,7 +4,7 @@ The vocabulary file is read on the driver and sent to the executors once: its si
 by the vocabulary, not by the data. On the executors each slice of texts becomes one flat
 array of code points; pre-token boundaries, distinct pre-tokens and merges are array
 operations. In a merge round every pre-token applies its lowest-rank pair at all places at
-once. A bounded cache of pre-token counts only saves time.
+once. Each vocabulary keeps a bounded cache of pre-token counts, which only saves time.
 
 Null text counts as empty (0 bytes, 0 tokens). Special strings of the vocabulary inside a
 text are one token each and end the pre-tokens beside them, as the library does by default.
@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 
 from . import common, merges, words
 
-#: counts of recent pre-tokens, kept by each Python worker
-_recent = words.Recent(200_000)
-
 
 def byte_letters() -> list[str]:
     """The printable stand-in for each byte in byte-level vocabularies."""
@@ -57,11 +54,27 @@ class ByteBpe:
         self.every = len(set(out.tolist())) == len(out)
         self.table = merges.PairTable(left, right, np.arange(len(pairs)), out, len(vocab) + len(self.special))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.recent = words.Recent(np.dtype(np.int32))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "recent"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"recent": words.Recent(np.dtype(np.int32))}
+
+    def encode(self, kinds: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids and their number for each pre-token of the list."""
-        raw = [t.encode() for t in texts]
-        lens = np.array([len(r) for r in raw], np.int64)
-        return merges.merge_words(self.of_byte[np.frombuffer(b"".join(raw), np.uint8)], lens, self.table, self.every)
+        lens = np.array([len(w) for w in kinds], np.int64)
+        return merges.merge_words(self.of_byte[np.frombuffer(b"".join(kinds), np.uint8)], lens, self.table, self.every)
+
+    def counts(self, raw: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Number of tokens of each pre-token raw[start : start + len]."""
+
+        def make(kinds: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            return self.encode(kinds)[1], np.ones(len(kinds), np.int64)
+
+        at, _ = self.recent.of(raw, starts, lens, make)
+        return self.recent.values[at]
 
 
 def split_special(strings: pa.LargeStringArray, special: Iterable[str]) -> tuple[pa.LargeStringArray, np.ndarray, list[list[str]]]:
@@ -92,23 +105,22 @@ def split_special(strings: pa.LargeStringArray, special: Iterable[str]) -> tuple
     return pa.array(pieces, pa.large_string()), np.array(owner, np.int64), found
 
 
-def pretokens(strings: pa.LargeStringArray, classes: np.ndarray) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(joined text, starts, lens, first, group, offsets): distinct pre-tokens of a slice;
-    offsets number the pre-tokens where each string begins."""
-    text, cp, offsets = common.code_points(strings)
+def pretokens(strings: pa.LargeStringArray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, lens, bounds): the pre-tokens of a slice; bounds number them where each string begins."""
+    raw = common.byte_view(strings)[0]
+    _, cp, offsets = common.code_points(strings)
     starts = words.pretoken_starts(cp, offsets, classes)
-    lens = np.diff(np.r_[starts, len(cp)])
-    first, group = words.distinct(cp, starts, lens, words.stretch_hashes(words.char_codes()[cp], starts, lens))
-    return text, starts, lens, first, group, np.searchsorted(starts, offsets)
+    bounds = np.searchsorted(starts, offsets)
+    if len(cp) != len(raw):  # from characters to bytes
+        starts = np.flatnonzero((raw & 0xC0) != 0x80)[starts]
+    return raw, starts, np.diff(np.r_[starts, len(raw)]), bounds
 
 
 def count_slice(strings: pa.LargeStringArray, bpe: ByteBpe) -> np.ndarray:
     """Tokens of each text."""
     pieces, owner, found = split_special(strings, bpe.special)
-    text, starts, lens, first, group, offsets = pretokens(pieces, bpe.classes)
-    kinds = [text[a : a + n] for a, n in zip(starts[first].tolist(), lens[first].tolist(), strict=True)]
-    counts = np.array(_recent.of(kinds, lambda some: bpe.encode(some)[1].tolist()), np.int64)
-    of_piece = common.sums(counts[group], offsets)
+    raw, starts, lens, bounds = pretokens(pieces, bpe.classes)
+    of_piece = common.sums(bpe.counts(raw, starts, lens), bounds)
     return np.bincount(owner, of_piece, len(strings)).astype(np.int64) + np.array([len(x) for x in found], np.int64)
 
 

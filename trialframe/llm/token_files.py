@@ -2,14 +2,17 @@
 
 1. Texts are encoded (mapInArrow) and written once as plain ids in the shared folder.
 2. Spark sums the count of each id over all documents; the driver sees one row per id of the
-   vocabulary and makes the code (package-merge under a length limit, canonical order).
-3. Documents become Huffman bits, are range-partitioned and sorted by document id, and are
-   written as independent blocks. A block holds its document ids and sizes, the bits (each
-   document starts on a byte), and a bit-offset checkpoint every ``STEP`` ids.
+   vocabulary and makes the code lengths (package-merge under a length limit).
+3. Documents are range-partitioned and sorted by document id, and each partition is packed into
+   independent blocks. A block holds its document ids and sizes, the bits (each document starts
+   on a byte), and a bit-offset checkpoint every ``STEP`` ids.
 4. Reading decodes all stretches between checkpoints of a block in step, by table look-up.
 
+The files need nothing but themselves: ``path``/code holds the id and code length of each used id, from which the
+canonical code follows, and ``path``/blocks the blocks. Any later session can read them.
+
 Null text counts as empty: only the end id. Documents with a null id come first; documents
-with equal ids are kept, in any order among themselves.
+with equal ids are kept, ordered by a hash of their ids (equal ones are interchangeable).
 """
 
 from __future__ import annotations
@@ -27,12 +30,10 @@ from . import common, token_counts, words
 
 #: ids between checkpoints, bytes of a block's payload, ids that one shard should hold
 STEP, BLOCK_BYTES, SHARD_IDS = 512, 1_000_000, 20_000_000
-#: ids of recent pre-tokens, kept by each Python worker
-_recent = words.Recent(200_000)
 
 
 class LibraryEncoder:
-    """The tokenizers library applied to the distinct pre-tokens of a slice of texts."""
+    """The tokenizers library applied to the distinct pre-tokens of a slice of texts that weren't seen lately."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -50,10 +51,16 @@ class LibraryEncoder:
         self.classes = words.char_classes()
         self.dtype = np.dtype("<u2") if self.n_ids <= 1 << 16 else np.dtype("<u4")
 
+        self.recent = words.Recent(self.dtype)
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "library"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("library", "recent")}
 
-    def encode(self, kinds: list[str]) -> list[bytes]:
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"recent": words.Recent(state["dtype"])}
+
+    def encode(self, kinds: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each pre-token of the list."""
         if not hasattr(self, "library"):
             import os
 
@@ -61,22 +68,18 @@ class LibraryEncoder:
             from tokenizers import Tokenizer
 
             self.library = Tokenizer.from_str(self.source)
-        (found,) = self.library.encode_batch_fast([kinds], is_pretokenized=True, add_special_tokens=False)
+        (found,) = self.library.encode_batch_fast([[w.decode() for w in kinds]], is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, self.dtype)
-        cut = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(w.encode()) for w in kinds]), "left") + 1
-        raw, ends = ids.tobytes(), (cut * self.dtype.itemsize).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        cut = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(w) for w in kinds]), "left") + 1
+        return ids, np.diff(np.r_[0, cut])
 
     def ids(self, strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their number for each text)."""
         pieces, owner, found = token_counts.split_special(strings, self.special)
-        text, starts, lens, first, group, offsets = token_counts.pretokens(pieces, self.classes)
-        kinds = [text[a : a + n] for a, n in zip(starts[first].tolist(), lens[first].tolist(), strict=True)]
-        own = _recent.of(kinds, self.encode)
-        flat = np.frombuffer(b"".join(own), self.dtype)
-        counts = np.array([len(x) for x in own], np.int64) // self.dtype.itemsize
-        ids = common.ragged_take(flat, (np.cumsum(counts) - counts)[group], counts[group])
-        of_piece = common.sums(counts[group], offsets)
+        raw, starts, lens, bounds = token_counts.pretokens(pieces, self.classes)
+        at, counts = self.recent.of(raw, starts, lens, self.encode)
+        ids = common.ragged_take(self.recent.values, at, counts)
+        of_piece = common.sums(counts, bounds)
         extra = np.array([len(x) for x in found], np.int64)
         n = np.bincount(owner, of_piece, len(strings)).astype(np.int64) + extra
         if extra.any():  # special ids go between the pieces of their text
@@ -110,8 +113,9 @@ def id_counts(tokens: DataFrame, n_ids: int, dtype: np.dtype) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_ids, np.int64)
         for batch in batches:
-            for blob in batch.column("ids"):
-                np.add(total, np.bincount(np.frombuffer(blob.as_buffer(), dtype), minlength=n_ids), out=total) if len(blob.as_buffer()) > 8 * n_ids else np.add.at(total, np.frombuffer(blob.as_buffer(), dtype), 1)
+            ids = flat_ids(batch.column("ids"), dtype)[0]
+            for a in range(0, len(ids), 1 << 22):
+                total += np.bincount(ids[a : a + (1 << 22)], minlength=n_ids)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -119,6 +123,15 @@ def id_counts(tokens: DataFrame, n_ids: int, dtype: np.dtype) -> dict[int, int]:
     return {r["id"]: r["n"] for r in rows}
 
 
+def flat_ids(blobs: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of a column of id strings, without a copy."""
+    blobs = blobs.cast(pa.large_binary())
+    _, offsets, data = blobs.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(blobs) + 1, blobs.offset * 8) if len(blobs) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[bounds[0] : bounds[-1]].view(dtype), (bounds - bounds[0]) // dtype.itemsize
+
+
 def code_lengths(weights: np.ndarray, limit: int) -> np.ndarray:
     """Optimal code lengths of at most ``limit`` bits (package-merge) for weights in ascending order."""
     n = len(weights)
@@ -145,18 +158,16 @@ def code_lengths(weights: np.ndarray, limit: int) -> np.ndarray:
 
 
 class Code:
-    """Canonical prefix code; equal counts always give the same one."""
+    """Canonical prefix code of ids by their code lengths (0: not used)."""
 
-    def __init__(self, counts: dict[int, int], n_ids: int):
-        used = sorted(counts, key=lambda i: (counts[i], i))
-        self.limit = max(16, (len(used) - 1).bit_length() + 2)
-        lengths = code_lengths(np.array([counts[i] for i in used], np.int64), self.limit)
-        self.length, self.code = np.zeros(n_ids, np.int64), np.zeros(n_ids, np.uint64)
-        self.length[used] = lengths
+    def __init__(self, length: np.ndarray):
+        self.length, self.code = length.astype(np.int64), np.zeros(len(length), np.uint64)
+        used = np.flatnonzero(self.length)
+        self.limit = max(16, int(self.length.max(initial=1)))
         #: id and length for each value of the next ``limit`` bits
         self.symbols, self.sizes = np.zeros(1 << self.limit, np.uint32), np.ones(1 << self.limit, np.uint8)
         code, before = 0, 0
-        for i in sorted(used, key=lambda i: (self.length[i], i)):
+        for i in used[np.lexsort((used, self.length[used]))].tolist():
             k = int(self.length[i])
             code <<= k - before
             before = k
@@ -165,6 +176,24 @@ class Code:
             self.symbols[span], self.sizes[span] = i, k
             code += 1
 
+    @classmethod
+    def of_counts(cls, counts: dict[int, int], n_ids: int) -> Code:
+        """The code for these counts; equal counts always give the same one."""
+        used = sorted(counts, key=lambda i: (counts[i], i))
+        limit = max(16, (len(used) - 1).bit_length() + 2)
+        length = np.zeros(n_ids, np.int64)
+        length[used] = code_lengths(np.array([counts[i] for i in used], np.int64), limit)
+        return cls(length)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Code:
+        """The code of files at ``path``: one row for each used id."""
+        rows = spark.read.schema(CODE_SCHEMA).parquet(f"{path}/code").collect()
+        length = np.zeros(1 + max((r["id"] for r in rows), default=0), np.int64)
+        for r in rows:
+            length[r["id"]] = r["length"]
+        return cls(length)
+
     def pack(self, ids: np.ndarray, n: np.ndarray) -> tuple[bytes, np.ndarray, list[np.ndarray]]:
         """(bits, byte offsets of the documents, checkpoints of each document in bits)."""
         size = self.length[ids]
@@ -204,76 +233,68 @@ class Code:
         return out.T[back][np.arange(len(out)) < counts[:, None]]
 
 
-BLOCK_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, doc_tokens array<int>, checkpoints array<int>, payload binary"
+BLOCK_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, doc_tokens array<int>, checkpoints array<long>, payload binary"
+CODE_SCHEMA = "id int, length int"
 
 
-def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0) -> Code:
-    """Encode ``docs`` (doc_id, text) and write the block files to ``path``; the code is returned."""
+def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0) -> None:
+    """Encode ``docs`` (doc_id, text) and write the code and the block files to ``path``."""
     spark = docs.sparkSession
     library = LibraryEncoder(tokenizer_path)
     n_ids, dtype = library.n_ids, library.dtype
     plain = common.new_path(spark, "token-ids")
     token_ids(docs, spark.sparkContext.broadcast(library), end_id).write.option("compression", "zstd").parquet(plain)
-    tokens = spark.read.parquet(plain)
+    tokens = spark.read.schema("doc_id long, n_tokens long, ids binary").parquet(plain)
     counts = id_counts(tokens, n_ids, dtype) or {end_id: 1}
-    code = Code(counts, n_ids)
+    code = Code.of_counts(counts, n_ids)
+    lengths = [(i, int(code.length[i])) for i in sorted(counts)]
+    spark.createDataFrame(lengths, CODE_SCHEMA).coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast(code)
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [x.as_buffer() for x in batch.column("ids")]
-            sizes = np.array([b.size for b in blobs], np.int64)
-            at, n = 0, len(blobs)
-            while at < n:  # slices of bounded size
-                end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), common.SLICE_BYTES)))
-                ids = np.frombuffer(b"".join(blobs[at:end]), dtype)
-                raw, offsets, marks = shared.value.pack(ids, sizes[at:end] // dtype.itemsize)
-                parts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                columns = [batch.column("doc_id").slice(at, end - at), batch.column("n_tokens").slice(at, end - at), pa.array(parts, pa.binary()), pa.array(marks, pa.list_(pa.int64())).cast(pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "bits", "marks"])
-                at = end
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard, number = TaskContext.get().partitionId(), 0
-        held: list[tuple] = []
+        held: list[tuple] = []  # (document ids, ids, bytes, checkpoints) of consecutive documents
         size = 0
 
         def block() -> pa.RecordBatch:
-            offset, marks, payload = 0, [], []
-            for _, _, raw, own in held:
-                marks.append(own + offset * 8)
-                payload.append(raw)
-                offset += len(raw)
-            n = [h[1] for h in held]
-            rows = {"shard": [shard], "block": [number], "n_ids": [sum(n)], "doc_ids": [[h[0] for h in held]], "doc_tokens": [n], "checkpoints": [np.concatenate(marks)], "payload": [b"".join(payload)]}
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+            at = np.cumsum([0, *[len(raw) for _, _, raw, _ in held]])
+            n = np.concatenate([x[1] for x in held])
+            marks = [m + a * 8 for (*_, own), a in zip(held, at.tolist(), strict=False) for m in own]
+            rows = {"shard": [shard], "block": [number], "n_ids": [int(n.sum())], "doc_ids": [[i for x in held for i in x[0]]], "doc_tokens": [n], "checkpoints": [np.concatenate(marks)], "payload": [b"".join(x[2] for x in held)]}
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
 
         for batch in batches:
-            marks = batch.column("marks")
-            for i, n, raw, own in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("bits").to_pylist(), marks, strict=True):
-                held.append((i, n, raw, np.asarray(own.values, np.int64)))
-                size += len(raw)
+            ids, bounds = flat_ids(batch.column("ids"), dtype)
+            doc_ids = batch.column("doc_id").to_pylist()
+            at = 0
+            while at < len(doc_ids):  # slices of bounded size
+                end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + BLOCK_BYTES // 2, "right")) - 1)
+                n = np.diff(bounds[at : end + 1])
+                raw, offsets, marks = shared.value.pack(ids[bounds[at] : bounds[end]], n)
+                marks = [m + a * 8 for m, a in zip(marks, offsets.tolist(), strict=False)]
+                held.append((doc_ids[at:end], n, raw[: offsets[-1]], marks))
+                size += int(offsets[-1])
                 if size >= BLOCK_BYTES:
                     yield block()
                     number, held, size = number + 1, [], 0
+                at = end
         if held:
             yield block()
 
     shards = max(spark.sparkContext.defaultParallelism, sum(counts.values()) // SHARD_IDS)
-    packed = tokens.mapInArrow(bits, "doc_id long, n_tokens long, bits binary, marks array<int>")
-    ordered = packed.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    tie = F.xxhash64("ids")  # so that rows of one id (or none) don't all go to one shard
+    ordered = tokens.repartitionByRange(shards, "doc_id", tie).sortWithinPartitions("doc_id", tie)
+    ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(f"{path}/blocks")
     common.drop_path(spark, plain)
-    return code
 
 
-def read_files(spark: SparkSession, path: str, code: Code, with_ids: bool = False) -> DataFrame:
+def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document in the files; ``ids`` on request."""
-    files = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    shared = spark.sparkContext.broadcast(code)
+    files = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
+    shared = spark.sparkContext.broadcast(Code.load(spark, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
