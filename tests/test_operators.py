@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from trialframe.functions import rules
-from trialframe.operators import annotate, coverage, curate, lifecycle, matches, nodes, patients, vocab
+from trialframe.operators import annotate, coverage, curate, lifecycle, matches, nodes, patients, trials, vocab
 
 TRIALS = "entity string, protocol_no string, nct_id string, eligibility string, tree string, status string, ord int"
 
@@ -75,6 +76,21 @@ def test_coverage(spark):
     assert [r[0] for r in flags] == [False, True, True, True, False]
 
 
+def test_flags_and_source_map(spark):
+    rows = [(["a"], None, [("d",)]), ([], ["b"], []), (None, None, None), ([], [], [])]
+    df = spark.createDataFrame([(i, e, (d,)) for i, e, d in rows], "i array<string>, e array<string>, _summary struct<drugs:array<struct<name:string>>>")
+    assert [tuple(r) for r in df.select(coverage.has_eligibility("i", "e"), coverage.has_drugs()).collect()] == [(True, True), (True, False), (False, False), (False, False)]
+    trials = spark.createDataFrame([("n1", "amc", "old", 0), ("n1", "amc", "new", 1), ("n1", "ctgov", "c", 0), (None, "amc", "x", 2)], "nct_id string, source string, title string, ord int")
+    found = coverage.source_map(trials, "nct_id", "source", "ord").collect()
+    assert [(r.nct_id, {k: v.title for k, v in r.by_source.items()}) for r in found] == [("n1", {"amc": "new", "ctgov": "c"})]
+
+
+def test_selected_trials(spark):
+    df = spark.createDataFrame([("c", 2), ("a", 0), ("b", 1)], "trial_key string, ord int")
+    names = lambda *a: [r.trial_key for r in trials.selected(df, *a).collect()]
+    assert names(None, 2) == ["a", "b"] and sorted(names(["a", "c"], 1)) == ["a", "c"] and len(names()) == 3 and names([], 1) == ["a"]
+
+
 def test_category_cascade_stops_at_rules_without_value(spark):
     rows = [(1, [("Childhood Cancers", "Solid Tumor", "Germ Cell"), ("Breast", "unknown", "x"), ("Breast", "", ""), ("None such", "", "")])]
     df = spark.createDataFrame(rows, "trial_key int, categories array<struct<cat1:string,cat2:string,cat3:string>>")
@@ -129,6 +145,41 @@ def test_nodes(spark):
     assert [r.match for r in steps.select(nodes.append_node(F.col("s"), F.lit("n"))).head()[0]] == [["x", "n"], ["y"]]
 
 
+def nested_tree(depth, leaf):
+    """A chain of and/or around a leaf, each with a genomic sibling."""
+    node = leaf
+    for k in range(depth):
+        node = {("and", "or")[k % 2]: [node, {"genomic": {"level": k}}]}
+    return node
+
+
+@pytest.mark.parametrize("depth", [5, 7, 12, 40])
+def test_trees_of_any_depth(spark, depth):
+    leaf = lambda d: {"clinical": {"oncotree_primary_diagnosis": d}}
+
+    def recursive(node):
+        for op in ("and", "or"):
+            if op in node:
+                own = [x for x in map(recursive, node[op]) if x is not None]
+                return {op: own} if own else None
+        if "clinical" in node:
+            name = {"A": "A", "Typo": "B"}.get(node["clinical"]["oncotree_primary_diagnosis"])
+            return leaf(name) if name else None
+        return node
+
+    chain = leaf("Gone")
+    for _ in range(depth):
+        chain = {"and": [chain]}
+    trees = [nested_tree(depth, leaf("Typo")), nested_tree(depth, leaf("Gone")), chain, {"or": [chain, nested_tree(depth, leaf("A"))]}]
+    df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(trees)] + [(None, json.dumps(trees[0])), (9, "not json"), (10, "[1]")], "k int, node string")
+    valid = spark.createDataFrame([("A",), ("B",)], "name string")
+    out = {r.k: json.loads(r.node) if r.node else None for r in nodes.validate_nodes(df, valid, "k", "node", {"Typo": "B", "Gone": None}).collect()}
+    assert out == {i: recursive(t) for i, t in enumerate(trees)} | {None: recursive(trees[0]), 9: None, 10: None}
+    flat = nodes.flatten_nodes(df, "k", "node").filter("k = 0")
+    assert flat.count() == 2 * depth + 1 and flat.agg(F.max(F.size("node_path"))).head()[0] == depth
+    assert all(r.has_diagnosis for r in nodes.has_diagnosis(flat, "k").collect())
+
+
 def test_store_nulls_are_hits(spark):
     work = spark.createDataFrame([(1, "k1", "t1"), (1, "k2", "t2"), (2, "k3", "t3"), (2, "k3", "t3")], "trial int, cache_key string, text string")
     store = spark.createDataFrame([("k1", None, True, 0), ("k2", '"a"', False, 0), ("k2", '"b"', False, 1)], annotate.STORE_SCHEMA)

@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -63,6 +64,15 @@ def test_worklist_and_full_text(spark):
     assert outline.full_text(work, "k").head()["text"] == "A\n  B\n    C\n  D\nE\nX"
 
 
+@pytest.mark.parametrize("depth", [9, 12, 60])
+def test_outlines_of_any_depth(spark, depth):
+    text = "||".join(["Inclusion Criteria", *["~" * (i + 1) + f"t{i}" for i in range(depth)], "~other", "~~below"])
+    criteria = outline.parse_outline_tilde(spark.createDataFrame([(1, text), (2, text)], "k int, text string"), "k", "text")
+    work = [r.text for r in outline.criteria_worklist(criteria, "k").orderBy("k", "nth").collect()]
+    assert work == ["\n".join("  " * i + f"t{i}" for i in range(depth)), "other\n  below"] * 2
+    assert {len(r.path) for r in outline.criterion_paths(criteria, "k").collect()} == set(range(1, depth + 1))
+
+
 def test_null_and_empty_outlines(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "~A")], "k int, text string")
     assert outline.parse_outline_tilde(df, "k", "text").count() == 0

@@ -94,3 +94,10 @@ def conflicts(df: DataFrame, id: str, source: str, value: str, values: list[str]
     odd = df.filter(F.col(id).isNotNull()).groupBy(id).agg(F.count_distinct(value).alias("k")).filter("k > 1").select(id)
     table = df.join(odd, id, "left_semi").groupBy(id).pivot(source, values).agg(F.first(value))
     return table.na.fill(missing, values).orderBy(id)
+
+
+def source_map(df: DataFrame, id: str, source: str, ord: str) -> DataFrame:
+    """(id, by_source): for each id a map from source to that source's last row; rows without an id are left out."""
+    row = F.struct(*[c for c in df.columns if c not in (id, source)])
+    last = df.filter(F.col(id).isNotNull()).groupBy(id, source).agg(F.max_by(row, ord).alias("row"))
+    return last.groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct(source, "row"))).alias("by_source"))

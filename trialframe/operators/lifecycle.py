@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def last_write_wins(df: DataFrame, key: str, ord: str) -> DataFrame:
-    """The row of each key with the greatest ``ord``; aggregated before the shuffle, without a sort."""
+    """The row of each key with the greatest ``ord``; thinned out before the shuffle, by a sort-based aggregation (its
+    buffer is a whole row)."""
     best = df.groupBy(key).agg(F.max_by(F.struct(*df.columns), ord).alias("row"))
     return best.select("row.*")
 

@@ -22,7 +22,8 @@ def visible(matches: DataFrame) -> DataFrame:
 
 
 def primary_match(matches: DataFrame, by: str, priority: list[Column], ord: list[str]) -> DataFrame:
-    """The row of each ``by`` with the least priority, then the least ``ord``: an aggregation, no sort."""
+    """The row of each ``by`` with the least priority, then the least ``ord``. Rows are thinned out before the shuffle, by a
+    sort-based aggregation (its buffer is a whole row)."""
     rank = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(priority)], *ord)
     return matches.groupBy(by).agg(F.min_by(F.struct(*matches.columns), rank).alias("row")).select("row.*")
 

@@ -1,18 +1,25 @@
 """Match trees. The tree of record is a JSON text; ``match_nodes`` is its flat form.
 
-match_nodes: (key, node_path, op, body): ``op`` is and, or, clinical or genomic; ``body`` the leaf's JSON.
+match_nodes: (key, node_path, op, body): ``op`` is and, or, clinical or genomic; ``body`` the leaf's JSON (null for and/or).
+
+Trees nest to any depth, which column expressions can't follow; so a tree is read by a small helper on the executors,
+row by row and with an explicit stack, while Spark resolves all names at once with joins.
+Text that is no JSON object has no nodes.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from . import vocab
 
 DIAGNOSIS = "oncotree_primary_diagnosis"
-#: and/or nest no deeper than this
-MAX_LEVELS = 6
 
 
 def diagnosis_leaf(name: Column) -> Column:
@@ -35,56 +42,126 @@ def append_node(steps: Column, node: Column) -> Column:
     return F.transform(steps, lambda s, i: F.when((i == 0) & node.isNotNull(), s.withField("match", F.array_append(s["match"], node))).otherwise(s))
 
 
+def _compact(value: object) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def parsed(tree: str | None) -> dict | None:
+    """The tree of a JSON text, or None if it isn't one."""
+    try:
+        value = json.loads(tree) if tree else None
+    except ValueError:
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def _op(node: dict) -> str:
+    return next((k for k in ("and", "or", "clinical") if node.get(k) is not None), "genomic")
+
+
+def walk(tree: dict) -> Iterator[tuple[list[int], str, dict]]:
+    """(path, op, node) of all nodes, parents first. Children that are no objects aren't nodes, but keep their number."""
+    todo: list[tuple[list[int], dict]] = [([], tree)]
+    while todo:
+        path, node = todo.pop()
+        op = _op(node)
+        yield path, op, node
+        if op in ("and", "or") and isinstance(node[op], list):
+            todo += [([*path, i], c) for i, c in reversed(list(enumerate(node[op]))) if isinstance(c, dict)]
+
+
+def diagnosis_of(node: dict) -> str | None:
+    """The diagnosis name of a clinical node."""
+    fields = node["clinical"]
+    return fields.get(DIAGNOSIS) if isinstance(fields, dict) else None
+
+
+def validated(tree: dict, resolved: dict[str, str | None]) -> dict | None:
+    """The tree with its diagnosis names looked up; names without an entry are dropped, and so is what becomes empty."""
+    out: dict[tuple[int, ...], dict | None] = {}
+    nodes = list(walk(tree))
+    kids: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
+    for path, _, _ in nodes[1:]:
+        kids.setdefault(tuple(path[:-1]), []).append(tuple(path))
+    for path, op, node in reversed(nodes):  # children first
+        at = tuple(path)
+        if op in ("and", "or"):
+            own = [x for x in (out.pop(k) for k in kids.get(at, [])) if x is not None]
+            out[at] = {op: own} if own else None
+        elif op == "clinical":
+            fields = dict(node[op]) if isinstance(node[op], dict) else {}
+            if DIAGNOSIS in fields:
+                fields[DIAGNOSIS] = resolved.get(fields[DIAGNOSIS])
+                if fields[DIAGNOSIS] is None:
+                    del fields[DIAGNOSIS]
+            out[at] = {op: fields} if fields else None
+        else:
+            out[at] = node
+    return out[()]
+
+
 def flatten_nodes(trees: DataFrame, key: str, node: str) -> DataFrame:
-    """match_nodes of one JSON tree for each key: a row's levels are lists of its nodes, exploded once."""
-    kind = "array<struct<node_path:array<int>,body:string>>"
+    """match_nodes of one JSON tree for each row of ``trees``, in one pass and without a shuffle."""
+    rows = trees.filter(F.col(node).isNotNull()).select(key, F.col(node).alias("node"))
+    kinds = (pa.list_(pa.int32()), pa.string(), pa.string())
 
-    def children(x: Column) -> Column:
-        inner = F.coalesce(F.get_json_object(x["body"], "$.and"), F.get_json_object(x["body"], "$.or"))
-        listed = F.coalesce(F.from_json(inner, "array<string>"), F.array().cast("array<string>"))
-        return F.transform(listed, lambda c, i: F.struct(F.array_append(x["node_path"], i).alias("node_path"), c.alias("body")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner: list[int] = []
+            out: list[list] = [[], [], []]
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                for path, op, found in walk(tree) if (tree := parsed(text)) else ():
+                    owner.append(i)
+                    for column, value in zip(out, (path, op, None if op in ("and", "or") else _compact(found)), strict=True):
+                        column.append(value)
+            columns = [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(x, kind) for x, kind in zip(out, kinds, strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, [key, "node_path", "op", "body"])
 
-    rows = trees.filter(F.col(node).isNotNull()).select(key, F.array(F.struct(F.array().cast("array<int>").alias("node_path"), F.col(node).alias("body"))).cast(kind).alias("__0"))
-    for level in range(1, MAX_LEVELS):
-        rows = rows.withColumn(f"__{level}", F.flatten(F.transform(f"__{level - 1}", children)).cast(kind))
-    flat = rows.select(key, F.explode(F.concat(*[f"__{level}" for level in range(MAX_LEVELS)])).alias("n")).select(key, "n.*")
-    op = F.when(F.get_json_object("body", "$.and").isNotNull(), "and").when(F.get_json_object("body", "$.or").isNotNull(), "or")
-    op = op.when(F.get_json_object("body", "$.clinical").isNotNull(), "clinical").otherwise("genomic")
-    return flat.select(key, "node_path", op.alias("op"), "body")
+    return rows.mapInArrow(run, schemas.with_fields(rows.select(key), "node_path array<int>, op string, body string"))
 
 
 def has_diagnosis(nodes: DataFrame, key: str) -> DataFrame:
     """(key, has_diagnosis): whether a diagnosis leaf is anywhere in the tree."""
-    leaf = (F.col("op") == "clinical") & F.get_json_object("body", f"$.clinical.{DIAGNOSIS}").isNotNull()
-    return nodes.groupBy(key).agg(F.bool_or(leaf).alias("has_diagnosis"))
+    return nodes.groupBy(key).agg(F.bool_or(is_diagnosis()).alias("has_diagnosis"))
+
+
+def is_diagnosis() -> Column:
+    return (F.col("op") == "clinical") & F.coalesce(F.get_json_object("body", f"$.clinical.{DIAGNOSIS}").isNotNull(), F.lit(False))
 
 
 def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str, corrections: dict[str, str | None] | None = None) -> DataFrame:
     """(key, node): trees with their diagnosis names resolved; names that can't be are dropped, and so are leaves
-    and and/or nodes that become empty. A clinical leaf's genomic part is lost; genomic leaves stay as they are."""
-    flat = flatten_nodes(trees, key, node)
-    name = F.get_json_object("body", f"$.clinical.{DIAGNOSIS}")
-    names = flat.filter("op = 'clinical'").select(name.alias("name")).filter("name IS NOT NULL").distinct()
-    resolved = vocab.resolve(names, vocabulary, corrections=corrections).select(F.col("name").alias("__name"), "resolved")
-    fields = F.from_json(F.get_json_object("body", "$.clinical"), "map<string,string>")
-    rest = F.map_filter(fields, lambda k, _: k != DIAGNOSIS)
-    kept = F.when(F.col("resolved").isNotNull(), F.map_concat(rest, F.create_map(F.lit(DIAGNOSIS), F.col("resolved")))).otherwise(rest)
-    clinical = F.when(F.size(kept) > 0, F.to_json(F.struct(kept.alias("clinical"))))
-    leaf = F.when(F.col("op") == "clinical", clinical).when(F.col("op") == "genomic", F.col("body"))
-    leaves = flat.withColumn("__name", name).join(resolved, "__name", "left").select(key, "node_path", "op", leaf.alias("node"))
-    # a tree's nodes come together in its row, and children go into their parents from the deepest level up
-    kind = "array<struct<node_path:array<int>,op:string,node:string>>"
-    rows = leaves.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("node_path", "op", "node"))).cast(kind).alias("__n"))
-    for depth in range(MAX_LEVELS - 1, 0, -1):
-
-        def parent(p: Column, depth: int = depth, kids: Column = F.col("__kids")) -> Column:
-            own = F.filter(kids, lambda c: F.slice(c["node_path"], 1, depth - 1) == p["node_path"])
-            body = F.array_join(F.transform(own, lambda c: c["node"]), ",")
-            whole = F.when(F.size(own) > 0, F.concat(F.lit('{"'), p["op"], F.lit('":['), body, F.lit("]}")))
-            inner = (F.size(p["node_path"]) == depth - 1) & p["op"].isin("and", "or")
-            return F.struct(p["node_path"].alias("node_path"), p["op"].alias("op"), F.when(inner, whole).otherwise(p["node"]).alias("node"))
-
-        kids = F.filter("__n", lambda c: (F.size(c["node_path"]) == depth) & c["node"].isNotNull())
-        rest = F.filter("__n", lambda c: F.size(c["node_path"]) < depth)
-        rows = rows.withColumn("__kids", kids).withColumn("__n", F.transform(rest, lambda p: parent(p)).cast(kind))
-    return rows.select(key, F.element_at("__n", 1)["node"].alias("node"))
+    and and/or nodes that become empty. A clinical leaf's genomic part is lost; genomic leaves stay as they are.
+
+    There is one row for each tree that isn't null; text without nodes gives null. Names are resolved once each, and go back
+    to the trees as one list for each key.
+    """
+    rows = trees.filter(F.col(node).isNotNull()).select(key, F.col(node).alias("node"))
+    used = rows.mapInArrow(_names, schemas.with_fields(rows.select(key), "name string")).distinct()
+    resolved = vocab.resolve(used.select("name").distinct(), vocabulary, corrections=corrections).filter("resolved IS NOT NULL")
+    own = used.join(resolved, "name").groupBy(F.col(key).alias("__key")).agg(F.collect_list(F.struct("name", "resolved")).alias("names"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, names in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                tree = parsed(text)
+                fixed = validated(tree, {x["name"]: x["resolved"] for x in names or ()}) if tree else None
+                out.append(None if fixed is None else _compact(fixed))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], [key, "node"])
+
+    joined = rows.join(own, F.col(key).eqNullSafe(F.col("__key")), "left").select(key, "node", "names")
+    return joined.mapInArrow(run, rows.schema)
+
+
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, name) of the diagnosis names in trees (key, node)."""
+    for batch in batches:
+        owner, names = [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            tree = parsed(text)
+            own = {diagnosis_of(x) for _, op, x in walk(tree) if op == "clinical"} if tree else set()
+            found = sorted(x for x in own if isinstance(x, str))
+            owner += [i] * len(found)
+            names += found
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(names, pa.string())], [batch.schema.names[0], "name"])

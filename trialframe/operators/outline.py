@@ -6,14 +6,15 @@ headers; ``parent_pos`` is null at the top level.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.clean import strip
 
-#: criteria nest no deeper than this; path assembly makes one join a level
-MAX_DEPTH = 8
-
 
 def parse_outline(lines: DataFrame, key: str, pos: str, header: Column, depth: Column, text: Column) -> DataFrame:
     """Criteria of the lines of each ``key``.
@@ -59,23 +60,35 @@ def parse_outline_markdown(df: DataFrame, key: str, text: str) -> DataFrame:
     return parse_outline(lines, key, "pos", section_header(F.col("line"), whole=False), F.greatest(F.lit(1), F.floor(indent / 2) + 1), body)
 
 
-def criterion_paths(criteria: DataFrame, key: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Criteria with ``root_pos`` and ``path``, the positions from the top item down to the item itself."""
-    at = criteria.withColumn("path", F.array("pos")).withColumn("__up", F.col("parent_pos"))
-    parents = criteria.select(F.col(key).alias("__key"), F.col("pos").alias("__pos"), F.col("parent_pos").alias("__next"))
-    for _ in range(max_depth - 1):
-        at = at.join(parents, (F.col(key) == F.col("__key")) & (F.col("__up") == F.col("__pos")), "left")
-        longer = F.when(F.col("__up").isNotNull(), F.concat(F.array("__up"), "path")).otherwise(F.col("path"))
-        at = at.withColumn("path", longer).withColumn("__up", F.col("__next")).drop("__key", "__pos", "__next")
-    return at.drop("__up").withColumn("root_pos", F.element_at("path", 1))
+def criterion_paths(criteria: DataFrame, key: str) -> DataFrame:
+    """Criteria with ``path``, the positions from the top item down to the item itself, and ``root_pos``, at any depth.
+
+    One exchange by document; a document's items pass in order, and each continues its parent's path, which came before.
+    """
+    names = criteria.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: object = run  # no key yet
+        paths: dict[int, list[int]] = {}
+        for batch in batches:
+            out = []
+            for doc, pos, up in zip(*(batch.column(c).to_pylist() for c in (key, "pos", "parent_pos")), strict=True):
+                if doc != last:
+                    last, paths = doc, {}
+                paths[pos] = [*paths.get(up, []), pos]
+                out.append(paths[pos])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], [*names, "path"])
+
+    ordered = criteria.repartition(key).sortWithinPartitions(key, "pos")
+    return ordered.mapInArrow(run, schemas.with_fields(criteria, "path array<int>")).withColumn("root_pos", F.element_at("path", 1))
 
 
-def criteria_worklist(criteria: DataFrame, key: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def criteria_worklist(criteria: DataFrame, key: str) -> DataFrame:
     """(key, source, root_pos, text): each top-level criterion with its sub-criteria, indented two blanks a level.
 
     ``nth`` is its place in its document, inclusion before exclusion.
     """
-    lines = criterion_paths(criteria, key, max_depth)
+    lines = criterion_paths(criteria, key)
     line = F.concat(F.repeat(F.lit("  "), F.size("path") - 1), "text")
     whole = F.array_sort(F.collect_list(F.struct("path", line.alias("line"))))
     tops = lines.groupBy(key, "source", "root_pos").agg(F.array_join(F.transform(whole, lambda x: x["line"]), "\n").alias("text"))

@@ -77,14 +77,21 @@ def resolve(names: DataFrame, vocabulary: DataFrame, name: str = "name", correct
     return joined.withColumn("resolved", resolved).select(*names.columns, "resolved")
 
 
+def _numbered_letters(name: Column) -> Column:
+    """Each letter with the number of its occurrence, as text: two names have as many of these in common as letters."""
+    letters = F.array_sort(F.filter(F.split(name, ""), lambda x: x != ""))
+    return F.transform(letters, lambda x, i: F.concat(x, (i - F.array_position(letters, x)).cast("string")))
+
+
 def closest(names: DataFrame, vocabulary: DataFrame, cutoff: float = 0.85) -> DataFrame:
     """(name, match, ratio): the vocabulary name most like each name, if at ``cutoff`` or more; ties to the greater name."""
-    size = F.length("name")
+    size, letters = F.length("name"), _numbered_letters(F.col("name"))
     low, high = F.ceil(size * cutoff / (2 - cutoff)).cast("int"), F.floor(size * (2 - cutoff) / cutoff).cast("int")
-    left = names.select("name", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))).alias("size"))
-    right = vocabulary.select(F.col("name").alias("match"), size.alias("size"))
-    shared = F.size(F.array_intersect(F.split("name", ""), F.split("match", "")))  # at least one letter in common
-    pairs = left.join(right, "size").filter(shared > 0)
+    left = names.select("name", letters.alias("own"), F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))).alias("size"))
+    right = vocabulary.select(F.col("name").alias("match"), letters.alias("other"), size.alias("size"))
+    # letters in common, repeats counted: no fewer than the matched ones
+    shared = F.size(F.array_intersect("own", "other"))
+    pairs = left.join(right, "size").filter(2 * shared >= cutoff * (F.length("name") + F.length("match")) - 1e-9).select("name", "match")
 
     @F.pandas_udf("double")
     def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

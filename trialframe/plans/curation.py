@@ -74,8 +74,8 @@ SELECT l_orderkey, k AS n_clinical, 1::BIGINT AS n_genomic, CASE WHEN k > 1 THEN
 )
 def node_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = nodes.flatten_nodes(_order_trees(spark, sf_dir), "l_orderkey", "node")
-    counts = flat.groupBy("l_orderkey").agg(F.count_if(F.col("op") == "clinical").alias("n_clinical"), F.count_if(F.col("op") == "genomic").alias("n_genomic"), F.count_if(F.col("op").isin("and", "or")).alias("n_inner"))
-    return counts.join(nodes.has_diagnosis(flat, "l_orderkey"), "l_orderkey")
+    counts = {"n_clinical": F.col("op") == "clinical", "n_genomic": F.col("op") == "genomic", "n_inner": F.col("op").isin("and", "or")}
+    return flat.groupBy("l_orderkey").agg(*[F.count_if(c).alias(n) for n, c in counts.items()], F.bool_or(nodes.is_diagnosis()).alias("has_diagnosis"))
 
 
 @query(
@@ -151,3 +151,28 @@ def site_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, missing = trials.site_enrich(sheet, studies)
     rows = found.select(F.col("site.site_name").alias("site"), F.col("nct_id").alias("id"), F.col("s_name").alias("name"), F.lit("found").alias("state"))
     return rows.union(missing.select("site_name", "nct_id", F.lit(None).cast("string"), F.lit("missing")))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'a|F;b' WHEN o_orderstatus = 'O' THEN 'a;b' ELSE 'a|{"clinical":{"oncotree_primary_diagnosis":"' || o_orderpriority || '"}};b' END AS steps FROM orders""")
+def node_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A node for the first of two steps; none for open orders."""
+    steps = F.array(F.struct(F.array(F.lit("a")).alias("match")), F.struct(F.array(F.lit("b")).alias("match")))
+    node = F.when(F.col("o_orderstatus") == "F", "F").when(F.col("o_orderstatus") == "P", nodes.diagnosis_leaf(F.col("o_orderpriority")))
+    out = table(spark, sf_dir, "orders").select("o_orderkey", nodes.append_node(steps, node).alias("s"))
+    return out.select("o_orderkey", F.array_join(F.transform("s", lambda x: F.array_join(x["match"], "|")), ";").alias("steps"))
+
+
+@query(
+    """WITH p AS (SELECT p_partkey, p_brand, p_partkey % 5 AS k FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN p_brand || ',_SOLID_' WHEN 1 THEN '!' || p_brand ELSE '_LIQUID_,' || p_brand END AS diagnoses FROM p WHERE k < 3"""
+)
+def diagnosis_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as trials: their name and type are read as diagnoses; of every fifth a null is stored, of others nothing."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("N"), "p_partkey").alias("id"), "p_name", F.when(F.col("p_partkey") % 2 == 0, F.col("p_type")).alias("summary"), "p_brand")
+    work = curate.recovery_worklist(parts, "p_partkey", "id", "p_name", "summary")
+    k, brand = F.col("p_partkey") % 5, F.col("p_brand")
+    names = F.when(k == 0, F.array(brand, F.lit("_SOLID_"), brand)).when(k == 1, F.array(F.concat(F.lit("!"), brand), F.lit("Leukemia"))).when(k == 2, F.array(F.lit("_LIQUID_"), F.lit("qqqqqqqq"), brand))
+    store = work.join(parts.select("p_partkey", "p_brand"), "p_partkey").filter(k < 4).select("cache_key", F.to_json(names).alias("value_json"), names.isNull().alias("is_null"), F.lit(0).cast("long").alias("ord"))
+    vocabulary = parts.select(F.col("p_brand").alias("name")).distinct()
+    found = curate.recovered_diagnoses(work, store, vocabulary, "p_partkey")
+    return found.select("p_partkey", F.array_join("diagnoses", ",").alias("diagnoses"))

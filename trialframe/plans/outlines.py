@@ -45,7 +45,7 @@ def outline_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, source, root::INTEGER AS root_pos, md5(string_agg(repeat('  ', level) || line, chr(10) ORDER BY path)) AS text FROM t GROUP BY doc_id, source, root"""
 )
 def outline_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = outline.criteria_worklist(criteria(spark, sf_dir), "doc_id", max_depth=4)
+    work = outline.criteria_worklist(criteria(spark, sf_dir), "doc_id")
     return work.select("doc_id", "source", "root_pos", F.md5("text").alias("text"))
 
 
@@ -62,3 +62,33 @@ def outline_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("Inclusion Criteria:\n"), F.array_join(bulleted, "\n"))
     found = outline.parse_outline_markdown(docs.select("doc_id", text.alias("text")), "doc_id", "text")
     return found.select("doc_id", "pos", "depth", "parent_pos")
+
+
+@query(
+    _LINES.replace("WITH s", "WITH RECURSIVE s")
+    + """, t(doc_id, pos, root, level, path, line, source) AS (
+  SELECT doc_id, pos, pos, 0, [pos], line, source FROM c WHERE parent_pos IS NULL
+  UNION ALL SELECT c.doc_id, c.pos, t.root, t.level + 1, list_append(t.path, c.pos), c.line, c.source FROM c JOIN t ON c.doc_id = t.doc_id AND c.parent_pos = t.pos)
+SELECT doc_id, md5(string_agg(repeat('  ', level) || line, chr(10) ORDER BY CASE source WHEN 'inclusion' THEN 0 ELSE 1 END, root, path)) AS text FROM t GROUP BY doc_id"""
+)
+def outline_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = outline.criteria_worklist(criteria(spark, sf_dir), "doc_id")
+    return outline.full_text(work, "doc_id").select("doc_id", F.md5("text").alias("text"))
+
+
+@query(
+    """WITH s AS (SELECT doc_id, string_split(replace(text, '|', '/'), chr(10)) AS a FROM documents),
+l AS (SELECT doc_id, unnest(range(0, len(a))) AS pos, unnest(a) AS line FROM s),
+h AS (SELECT *, len(line) % 5 = 0 AS is_header, len(line) % 4 AS depth, sum(CASE WHEN len(line) % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run,
+  last_value(CASE WHEN len(line) % 5 = 0 THEN pos % 2 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos) AS kind FROM l),
+i AS (SELECT * FROM h WHERE NOT is_header AND run > 0 AND trim(line) <> ''),
+c AS (SELECT i.*, CASE WHEN depth >= 2 THEN (SELECT max(q.pos) FROM i q WHERE q.doc_id = i.doc_id AND q.run = i.run AND q.depth = i.depth - 1 AND q.pos < i.pos) END AS parent_pos FROM i)
+SELECT doc_id, CASE kind WHEN 0 THEN 'inclusion' ELSE 'exclusion' END AS source, pos::INTEGER AS pos, depth::INTEGER AS depth, parent_pos::INTEGER AS parent_pos, md5(trim(line)) AS text FROM c"""
+)
+def outline_tilde(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as tilde outlines: lines whose length divides by 5 are headers, others have
+    their length modulo 4 as depth; the separator of outlines is written as a slash."""
+    header = lambda i: F.when(i % 2 == 0, "Inclusion Criteria:").otherwise(" exclusion criteria ")
+    items = F.transform(F.split(F.replace(F.col("text"), F.lit("|"), F.lit("/")), "\n"), lambda x, i: F.when(F.length(x) % 5 == 0, header(i)).otherwise(F.concat(F.repeat(F.lit("~"), (F.length(x) % 4).cast("int")), x)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_join(items, "||").alias("text"))
+    return outline.parse_outline_tilde(docs, "doc_id", "text").select("doc_id", "source", "pos", "depth", "parent_pos", F.md5("text").alias("text"))

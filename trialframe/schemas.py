@@ -1,7 +1,19 @@
-"""Schemas of the tables that the library reads and makes, as Spark DDL."""
+"""Schemas of the tables that the library reads and makes, as Spark DDL.
+
+Column names and XML tags are fixed values: those of the files and collections that are read and written.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+
+def with_fields(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` with more columns."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 REGISTRY_XML = """
 ID string, NO string, NCT_NUMBER string, STATUS string, TITLE string, FULL_TITLE string, SUMMARY_OBJ string,
 SECONDARY_PROTOCOL_NO string, SPONSOR_TYPE string, AGE_GROUP string, PHASE string, CANCER_PREVENTION string, SCOPE string,
