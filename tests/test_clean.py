@@ -79,6 +79,13 @@ def test_answers(spark):
     assert values(spark, clean.parse_json_array, texts) == [["a", '{"b":1}'], ["a"], [], [], [], []]
 
 
+def test_content_hash_sorts_nested_keys(spark):
+    texts = ['{"a":{"x":1,"y":[{"q":1,"p":2}]},"b":null}', '{"b":null,"a":{"y":[{"p":2,"q":1}],"x":1}}', '{"a":{"x":"1","y":[{"q":1,"p":2}]},"b":null}', "[1]", "no json", None]
+    hashes = values(spark, clean.content_hash, texts)
+    assert hashes[0] == hashes[1] != hashes[2] and hashes[3:] == [None] * 3
+    assert values(spark, clean.canonical_json, ['{"b\\"c": 1.5, "a": {"z": true, "y": {}}}', "{}"]) == ['{"a":{"y":{},"z":true},"b\\"c":1.5}', "{}"]
+
+
 def test_content_hash_ignores_order_and_volatile_fields(spark):
     a, b, c = values(spark, clean.content_hash, ['{"x": 1, "y": "2", "fetched_at": "a"}', '{"y": "2", "x": 1, "fetched_at": "b"}', '{"x": 2, "y": "2"}'])
     assert a == b != c

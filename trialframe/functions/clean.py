@@ -168,11 +168,21 @@ def cache_key(*parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
+def canonical_json(raw: Column, volatile: Iterable[str] = ()) -> Column:
+    """A JSON object's text with keys sorted at every level, without ``volatile`` top-level fields; null for other text."""
+    fields = F.from_json(raw, "map<string,variant>")
+    kept = F.map_filter(fields, lambda k, _: ~k.isin(*volatile)) if volatile else fields
+
+    def pair(k: Column) -> Column:
+        name = F.to_json(F.array(k))  # quoted and escaped, in brackets
+        return F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), F.to_json(kept[k]))
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(kept)), pair), ","), F.lit("}"))
+
+
 def content_hash(raw: Column, volatile: Iterable[str] = ("fetched_at",)) -> Column:
-    """SHA-256 of a JSON object with sorted keys, without fields that change at every fetch."""
-    entries = F.from_json(raw, "map<string,string>")
-    kept = F.map_filter(entries, lambda k, _: ~k.isin(*volatile))
-    return F.sha2(F.to_json(F.array_sort(F.map_entries(kept))), 256)
+    """SHA-256 of a JSON object with keys sorted at every level, without fields that change at every fetch."""
+    return F.sha2(canonical_json(raw, tuple(volatile)), 256)
 
 
 def answer_text(c: Column) -> Column:

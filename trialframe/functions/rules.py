@@ -150,7 +150,7 @@ CATEGORY_DIAGNOSIS = {
     ("Childhood Cancers", "Solid Tumor", "CNS"): "CNS/Brain",
     ("Childhood Cancers", "Solid Tumor", "Germ Cell"): None,
     ("Childhood Cancers", "Solid Tumor", "Hepatoblastoma/HCC"): "Liver",
-    ('Childhood Cancers', 'Solid Tumor', "RCC/Wilm's Tumor"): "Wilms' Tumor",
+    ("Childhood Cancers", "Solid Tumor", "RCC/Wilm's Tumor"): "Wilms' Tumor",
     ("Childhood Cancers", "Solid Tumor", "Sarcoma"): "Sarcoma, NOS",
     ("Childhood Cancers", "Solid Tumor", "Biology and Translational"): None,
     ("Childhood Cancers", "Solid Tumor", "Cancer Control and Supportive Care"): None,
@@ -246,7 +246,7 @@ CONDITION_KEYWORDS = [
     ("osteosarcoma", "Osteosarcoma"),
     ("ewing sarcoma", "Ewing Sarcoma"),
     ("rhabdomyosarcoma", "Rhabdomyosarcoma"),
-    ('wilms', "Wilms' Tumor"),
+    ("wilms", "Wilms' Tumor"),
     ("hepatoblastoma", "Hepatoblastoma"),
     ("neuroblastoma", "Neuroblastoma"),
     ("medulloblastoma", "Medulloblastoma"),
@@ -288,7 +288,7 @@ NAME_CORRECTIONS = {
     "Waldenstrom Macroglobulinemia/Lymphoplasmacytic Lymphoma": "Waldenstrom Macroglobulinemia",
     "Diffuse Large B-Cell Lymphoma": "Diffuse Large B-Cell Lymphoma, NOS",
     "Myeloproliferative Neoplasm": "Myeloproliferative Neoplasms",
-    'Wilms Tumor': "Wilms' Tumor",
+    "Wilms Tumor": "Wilms' Tumor",
     "Non-Seminoma Malignant Germ Cell Tumor": "Non-Seminomatous Germ Cell Tumor",
     "Seminoma Malignant Germ Cell Tumor": "Seminoma",
     "Ovarian Immature Teratoma": "Immature Teratoma",

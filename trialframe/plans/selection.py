@@ -50,7 +50,8 @@ u AS (SELECT l_orderkey, 'Name' AS label, p_name AS value FROM j UNION ALL SELEC
   UNION ALL SELECT l_orderkey, 'Customer', c_name FROM j UNION ALL SELECT l_orderkey, 'Segment', segment FROM j UNION ALL SELECT l_orderkey, 'Flag', flag FROM j)
 SELECT * FROM u WHERE value IS NOT NULL AND value <> ''"""
 )
-def match_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primary lines with their part, order and customer as labelled rows."""
     best = primary(spark, sf_dir)[1]
     joined = best.join(table(spark, sf_dir, "part"), best.l_partkey == F.col("p_partkey"), "left")
     joined = joined.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import clean
 from ..operators import lifecycle
 from .registry import query, table
 
@@ -45,10 +46,12 @@ def carry_forward_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.merge_master(unchanged, curated)
 
 
-@query("SELECT o_orderkey, sha256(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR, o_orderstatus, o_orderpriority)) AS hash FROM orders")
+@query("""SELECT o_orderkey, sha256('{"a":{"m":[{"c":' || o_custkey || ',"p":"' || o_orderpriority || '"}],"status":"' || o_orderstatus || '"},"key":' || o_orderkey || '}') AS hash FROM orders""")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.sha2(F.concat_ws("|", *fields), 256).alias("hash"))
+    """Nested objects whose keys come in another order than the hash takes them, with a fetch time that it leaves out."""
+    inner = F.to_json(F.array(F.struct(F.col("o_orderpriority").alias("p"), F.col("o_custkey").alias("c"))))
+    raw = F.concat(F.lit('{"key": '), "o_orderkey", F.lit(', "fetched_at": "'), F.col("o_orderdate").cast("string"), F.lit('", "a": {"status": "'), "o_orderstatus", F.lit('", "m": '), inner, F.lit("}}"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", clean.content_hash(raw).alias("hash"))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")

@@ -11,10 +11,14 @@ from ..operators import annotate
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, kind: str = "json") -> DataFrame:
-    """A collection with a fixed schema; a missing path is an empty collection."""
+    """A collection with a fixed schema; a missing path is an empty collection.
+
+    ``kind``: ``json`` is one document or list a file, each file one task; ``jsonl`` (a record a line) and ``parquet`` are
+    split among tasks, and are what large collections should come in.
+    """
     try:
         reader = spark.read.schema(schema)
-        return reader.option("multiLine", True).json(path) if kind == "json" else reader.parquet(path)
+        return reader.parquet(path) if kind == "parquet" else reader.option("multiLine", kind == "json").json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -25,21 +29,21 @@ def read_trials(spark: SparkSession, path: str, kind: str = "json") -> DataFrame
     return read_or_empty(spark, path, schemas.TRIAL, kind)
 
 
-def read_matches(spark: SparkSession, path: str) -> DataFrame:
-    """Trial matches from a flat list or from a patient's envelope, with ``ord``."""
-    raw = spark.read.schema(f"{schemas.TRIAL_MATCH}, trial_match array<struct<{schemas.TRIAL_MATCH.replace(chr(10), ' ').strip()}>>").option("multiLine", True).json(path)
+def read_matches(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """Trial matches from a flat list or from a patient's envelope, with ``ord``; ``kind`` is json or jsonl."""
+    raw = spark.read.schema(f"{schemas.TRIAL_MATCH}, trial_match array<struct<{schemas.TRIAL_MATCH.replace(chr(10), ' ').strip()}>>").option("multiLine", kind == "json").json(path)
     flat = raw.filter("trial_match IS NULL").drop("trial_match")
     packed = raw.select(F.explode("trial_match").alias("m")).select("m.*")
     return flat.unionByName(packed).withColumn("ord", F.monotonically_increasing_id())
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct names of a landed vocabulary file."""
-    return spark.read.schema("name string").option("multiLine", True).json(path).filter("name IS NOT NULL").distinct()
+def read_vocabulary(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """Distinct names of a landed vocabulary file; ``kind`` is json or jsonl."""
+    return spark.read.schema("name string").option("multiLine", kind == "json").json(path).filter("name IS NOT NULL").distinct()
 
 
-def read_gene_kb(spark: SparkSession, path: str) -> DataFrame:
-    return read_vocabulary(spark, path).select(F.upper("name").alias("name")).distinct()
+def read_gene_kb(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    return read_vocabulary(spark, path, kind).select(F.upper("name").alias("name")).distinct()
 
 
 class SuggestionStore:
@@ -56,7 +60,8 @@ class SuggestionStore:
 
 
 def write_collection(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    df.write.mode("overwrite").format(kind).save(path)
+    """``kind``: parquet, or json and jsonl, which Spark both writes as a record a line."""
+    df.write.mode("overwrite").format("json" if kind == "jsonl" else kind).save(path)
 
 
 def write_diff(routed: DataFrame, path: str) -> None:

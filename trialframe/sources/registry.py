@@ -24,11 +24,14 @@ def read_registry_xml(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*own, categories.alias("categories"), sites.alias("satellite_sites"), F.monotonically_increasing_id().alias("ord"))
 
 
-def read_studies(spark: SparkSession, path: str) -> DataFrame:
-    """Studies of JSON files in any of three shapes: flat records, search responses, single studies."""
+def read_studies(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """Studies of JSON files in any of three shapes: flat records, search responses, single studies.
+
+    ``kind``: ``json`` is one document or list a file, each file one task; ``jsonl``, a record a line, is split among tasks.
+    """
     nested = f"struct<protocolSection: {schemas.PROTOCOL_SECTION}>"
     schema = f"{schemas.STUDY}, studies array<{nested}>, protocolSection {schemas.PROTOCOL_SECTION}"
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", kind == "json").json(path)
     flat = [c.split(" ")[0] for c in schemas.STUDY.replace("\n", " ").strip().split(", ")]
     lists = ("phases", "conditions", "std_ages", "drug_interventions")
     own = raw.filter("nct_id IS NOT NULL").select(*[F.coalesce(c, F.array().cast("array<string>")).alias(c) if c in lists else F.col(c) for c in flat])
