@@ -209,6 +209,21 @@ def test_recovered_diagnoses(spark):
     assert curate.recovered_diagnoses(work, store, known, "k").head()["diagnoses"] == ["_SOLID_", "Diffuse Glioma"]
 
 
+def test_pairs_without_a_left_part(spark):
+    """Rows without a gene's name are left out, however the name comes about."""
+    genes = ["::B", " ::B", "A::B", "/B", "/B::C", "A/B", "-B", "-B/C", "-B::C", "A-B", "-", "A-", "A", " ", "", None, "/\n::B", "-\nB/C"]
+    people = spark.createDataFrame([(1, "m")], "pt_uuid long, mrn string")
+    none = F.lit(None).cast("string")
+    rows = spark.createDataFrame([(1, g, t) for g in genes for t in ("fusion", "SNV")], "pt_uuid long, gene string, variant_type string")
+    genomic, _ = patients.genomic_rows(people, rows.withColumns({"protein": none, "nucleotide": none, "result_summary": none}))
+    expected = []
+    for g in genes:
+        sep = next((x for x in ("::", "/", "-") if x in (g or "")), None)
+        left = g.split(sep, 1)[0].strip() if sep else g
+        expected += [x for x in (left, g) if x]
+    assert sorted(r.TRUE_HUGO_SYMBOL for r in genomic.collect()) == sorted(expected)
+
+
 def test_genomic_rows(spark):
     people = spark.createDataFrame([(1, "m1"), (2, "")], "pt_uuid long, mrn string")
     fields = "pt_uuid long, report_uuid long, gene string, protein string, nucleotide string, variant_type string, result_summary string"

@@ -11,8 +11,8 @@ from . import rules
 
 
 def strip(c: Column) -> Column:
-    """Without white space of any kind at both ends (``trim`` takes blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without ASCII white space of any kind at both ends (``trim`` takes blanks only)."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def blank_to_null(c: Column) -> Column:

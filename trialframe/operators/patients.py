@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import clean, rules
 from . import lifecycle
 
+#: a pair without its left part, by the separators of ``clean.split_pair``
+NO_LEFT = r"(?s)^\s*(::|/(?!.*::)|-(?!.*(::|/)))"
 FINDING_FIELDS = ("gene", "protein", "nucleotide", "variant_type", "result_summary")
 
 
@@ -60,36 +62,42 @@ def clinical_rows(patients: DataFrame, metadata: DataFrame, findings: DataFrame)
 
 
 def genomic_rows(patients: DataFrame, findings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(genomic, rejects): one row for each finding with a category and a gene; rejects have types that no rule knows."""
-    kind = clean.strip(F.coalesce("variant_type", F.lit("")))
-    rows = findings.join(patients.select("pt_uuid", "mrn"), "pt_uuid").withColumn("__vt", kind).withColumn("__cat", clean.variant_category(F.col("__vt")))
+    """(genomic, rejects): one row for each finding with a category and a gene; rejects have types that no rule knows.
+
+    The categories are a table of some twenty rows, which is broadcast, so that no row evaluates a map of them.
+    """
+    kinds = findings.sparkSession.createDataFrame(list(rules.VARIANT_CATEGORY.items()), "__vt string, __category string").withColumn("__known", F.lit(True))
     gene_upper = F.upper(F.coalesce("gene", F.lit("")))
+    rows = findings.withColumn("__vt", clean.strip(F.coalesce("variant_type", F.lit(""))))
     rows = rows.filter(~(F.col("__vt").isin(*rules.BIOMARKER) & gene_upper.isin(*rules.TMB_GENES)))
-    rejects = rows.filter(~F.col("__cat.known")).select(*findings.columns).withColumn("reason", F.concat(F.lit("unknown variant_type "), kind))
-    pair = clean.split_pair(F.col("gene"))
-    fused = F.col("__vt").isin(*rules.FUSION) & clean.filled(F.col("gene")).isNotNull()
-    signature, summary = F.col("__cat.category") == "SIGNATURE", F.coalesce("result_summary", F.lit(""))
+    gene, fusion = F.coalesce("gene", F.lit("")), F.col("__vt").isin(*rules.FUSION)
+    rows = rows.join(patients.select("pt_uuid", "mrn"), "pt_uuid").join(F.broadcast(kinds), "__vt", "left")
+    rejects = rows.filter("__known IS NULL").select(*findings.columns, F.concat(F.lit("unknown variant_type "), F.col("__vt")).alias("reason"))
+    # no gene, or nothing before the separator of a pair: said of the gene's text alone, since Spark moves filters to the scan
+    named = (gene != "") & ~(fusion & gene.rlike(NO_LEFT))
+    known = rows.filter(F.col("__category").isNotNull() & named).withColumns({"__pair": F.when(fusion, clean.split_pair(F.col("gene"))), "__upper": gene_upper})
+    pair, signature, summary = F.col("__pair"), F.col("__category") == "SIGNATURE", F.coalesce("result_summary", F.lit(""))
 
     def status(genes: tuple[str, ...], value):
-        return F.when(signature & gene_upper.isin(*genes), value)
+        return F.when(signature & F.col("__upper").isin(*genes), value)
 
-    known = rows.filter(F.col("__cat.category").isNotNull()).select(
+    known = known.select(
         clean.sample_id(F.col("mrn"), F.col("pt_uuid")).alias("SAMPLE_ID"),
-        F.when(fused, pair["left"]).otherwise(F.col("gene")).alias("TRUE_HUGO_SYMBOL"),
-        F.col("__cat.category").alias("VARIANT_CATEGORY"),
+        F.when(pair.isNotNull(), pair["left"]).otherwise(F.col("gene")).alias("TRUE_HUGO_SYMBOL"),
+        F.col("__category").alias("VARIANT_CATEGORY"),
         F.col("__vt").isin(*rules.WILDTYPE).alias("WILDTYPE"),
         clean.na_to_null(F.col("protein")).alias("TRUE_PROTEIN_CHANGE"),
         clean.na_to_null(F.col("nucleotide")).alias("TRUE_CDNA_CHANGE"),
-        F.when(fused, pair["left"]).alias("LEFT_PARTNER_GENE"),
-        F.when(fused, pair["right"]).alias("RIGHT_PARTNER_GENE"),
-        F.when(F.col("__cat.category") == "CNV", clean.cnv_call(F.col("result_summary"), F.col("__vt"))).alias("CNV_CALL"),
+        pair["left"].alias("LEFT_PARTNER_GENE"),
+        pair["right"].alias("RIGHT_PARTNER_GENE"),
+        F.when(F.col("__category") == "CNV", clean.cnv_call(F.col("result_summary"), F.col("__vt"))).alias("CNV_CALL"),
         status(rules.MMR_GENES, clean.mmr_status(summary)).alias("MMR_STATUS"),
         status(rules.POLE_GENES, summary).alias("POLE_STATUS"),
         status(rules.APOBEC_GENES, summary).alias("APOBEC_STATUS"),
         status(rules.TOBACCO_GENES, summary).alias("TOBACCO_STATUS"),
         F.current_timestamp().alias("_updated"),
     )
-    return known.filter(clean.filled(F.col("TRUE_HUGO_SYMBOL")).isNotNull()), rejects
+    return known, rejects
 
 
 def unknown_types(rejects: DataFrame) -> DataFrame:
