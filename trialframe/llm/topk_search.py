@@ -10,9 +10,9 @@ each query's bin with the kth value; the next round divides this bin further, un
 single scores. The last round keeps scores above the kth value and, of those equal to it, the
 smallest ids, as many as are still needed from any cell.
 
-Components become floor(64 * x). Vectors that are null, or hold a null or a value that is not
-finite, and rows without an id take no part; of rows with equal ids the least vector counts;
-vectors of different lengths have no score. Scores must fit in 64 bits.
+Components become floor(64 * x). Vectors that are null, or hold a null, a value that is not finite or one that makes
+no 64-bit component, and rows without an id take no part; of rows with equal ids the least vector counts;
+vectors of different lengths have no score. Scores are exact; one beyond 2**63 - 1 either way counts as that number.
 """
 
 from __future__ import annotations
@@ -24,14 +24,17 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BINS = 1024
-QUERY_GROUP, CANDIDATE_GROUP = 1024, 16_384
+#: bins of a round's histogram; it is sparse, with at most k entries from a cell for each query
+BINS = 1 << 16
+QUERY_GROUP, CANDIDATE_GROUP = 4096, 16_384
+#: the largest score, and the type of sums and products of scores
+MOST, WIDE = 2**63 - 1, "decimal(20,0)"
 
 
 def int_vectors(rows: DataFrame, scale: int = 64) -> DataFrame:
     """(vec_id, v): whole-number vectors of the rows that take part."""
     x = F.col("embedding")
-    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * scale) < float(2**63)))
     v = F.transform(x, lambda c: F.floor(c.cast("double") * scale))
     rows = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & whole)
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
@@ -44,10 +47,33 @@ def _matrix(table: pa.Table, column: str = "v") -> np.ndarray:
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact inner products; by floating point where no sum can lose a bit."""
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    most_q, most_c = (max(abs(int(x.min(initial=0))), abs(int(x.max(initial=0)))) for x in (q, c))
+    bound = most_q * most_c * q.shape[1]
     if bound < 2**53:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
-    return q @ c.T
+    return q @ c.T if bound <= MOST else _wide_scores(q, c)
+
+
+def _wide_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of any 64-bit vectors, those beyond MOST cut to it.
+
+    Vectors are split into four digits of 20 bits (the last is signed), products of digits are summed by weight as exact
+    floating point numbers, and the sums are carried into digits again.
+    """
+    low = (1 << 20) - 1
+    parts = [[(x >> 20 * k) & low if k < 3 else x >> 60 for k in range(4)] for x in (q, c)]
+    digits, block = np.zeros((7, len(q), len(c)), np.int64), 1 << 10
+    for i in range(4):
+        for j in range(4):
+            for d in range(0, q.shape[1], block):  # sums of at most block products of 40 bits
+                digits[i + j] += (parts[0][i][:, d : d + block].astype(np.float64) @ parts[1][j][:, d : d + block].T.astype(np.float64)).astype(np.int64)
+    for k in range(6):
+        digits[k + 1] += digits[k] >> 20
+        digits[k] &= low
+    middle, top = digits[3] | digits[4] << 20 | digits[5] << 40, digits[6]
+    small, negative = (top == 0) & (middle < 8), (top == -1) & (middle >= (1 << 60) - 8)
+    value = digits[0] | digits[1] << 20 | digits[2] << 40 | (middle & 15) << 60
+    return np.where(small | negative, np.maximum(value, -MOST), np.where(top < 0, -MOST, MOST))
 
 
 def _active(left: pa.Table, right: pa.Table, k: int):
@@ -89,7 +115,8 @@ def _histogram(k: int, width: int):
         low = left.column("low").to_numpy()
         for part, s, mine in _active(left, right, k):
             row, col = np.nonzero(mine)
-            key, n = np.unique(row * BINS + (s[row, col] - low[part][row]) // width, return_counts=True)
+            above = s[row, col].astype(np.uint64) - low[part][row].astype(np.uint64)  # may take all 64 bits
+            key, n = np.unique(row * BINS + (above // np.uint64(width)).astype(np.int64), return_counts=True)
             ids.append(left.column("vec_id").to_numpy()[part][key // BINS])
             bins.append(key % BINS)
             counts.append(n)
@@ -101,16 +128,14 @@ def _histogram(k: int, width: int):
 def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's k best other rows, ties to the smaller id."""
     vectors = common.written(int_vectors(rows), "vectors")
-    top = F.max(F.coalesce(F.array_max(F.transform("v", lambda c: F.abs(c))), F.lit(0)))
-    n, n_queries, largest, dim = vectors.agg(F.count("*"), F.count_if(is_query), top, F.max(F.size("v"))).head()
+    square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
+    n, n_queries, largest = vectors.agg(F.count("*"), F.count_if(is_query), F.max(square)).head()
     a, b = -(-n_queries // QUERY_GROUP) or 1, -(-n // CANDIDATE_GROUP) or 1
-    bound = (largest or 0) ** 2 * (dim or 0)
-    if bound >= 2**62:
-        raise ValueError("scores don't fit in 64 bits")
+    bound = min(MOST, int((largest or 0) * (1 + 1e-9)) + 1)  # no score is above the greatest square
     queries = vectors.filter(is_query)
     # each query's kth value is in [low, high]; need: which one of those in there
     state = queries.select("vec_id", F.lit(-bound).cast("long").alias("low"), F.lit(bound).cast("long").alias("high"), F.lit(k).cast("long").alias("need"))
-    width = 2 * bound + 1
+    width, rounds = 2 * bound + 1, 0
     while width > 1:
         width = -(-width // BINS)
 
@@ -119,11 +144,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         down = Window.partitionBy("vec_id").orderBy(F.desc("bin"))
         counts = counts.withColumn("upto", F.sum("n").over(down)).join(state, "vec_id")
         hit = counts.filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-        low = F.col("low") + F.col("bin") * width
-        found = hit.select("vec_id", low.alias("new_low"), F.least("high", low + width - 1).alias("new_high"), (F.col("need") - F.col("upto") + F.col("n")).alias("new_need"))
+        low = F.col("low").cast(WIDE) + F.col("bin").cast(WIDE) * F.lit(width).cast(WIDE)
+        high = F.least(F.col("high").cast(WIDE), low + F.lit(width - 1).cast(WIDE))
+        found = hit.select("vec_id", low.cast("long").alias("new_low"), high.cast("long").alias("new_high"), (F.col("need") - F.col("upto") + F.col("n")).alias("new_need"))
         # queries with fewer than k others keep all of them: their interval stays at its low end
         state = state.join(found, "vec_id", "left").select("vec_id", F.coalesce("new_low", "low").alias("low"), F.when(F.col("new_low").isNull(), F.col("low")).otherwise(F.col("new_high")).alias("high"), F.coalesce("new_need", "need").alias("need"))
-        state = common.written(state, "kth")
+        before, state = state, common.written(state, "kth")
+        if rounds:
+            common.drop(before)
+        rounds += 1
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
