@@ -7,10 +7,13 @@ conversation's output, ``<|im_start|>role\\ncontent<|im_end|>\\n``; the conversa
 in order of turn. Segments stay rows, so a conversation of any length is never one cell.
 
 Escaping is reversible: a backslash in a text is doubled, and a control string gets a backslash after
-its first character, so no control string of the template is left in any text.
+its first character, so no control string of the template is left in any text. In a role a line feed becomes ``\\n`` too, since it
+ends the role.
 
-Null text, role or content counts as empty. Turns are ordered by turn (null first), then role and
-text, so that repeated rows and ties have one order. A null conversation id is a conversation.
+Null text, role or content counts as empty. Turns are ordered by turn (null first), then by the bytes of role and
+text, so that repeated rows and ties have one order. A null conversation id is a conversation. Parts that are no JSON list of objects
+count as one text part with that JSON text; a part of unknown type as a text part with its JSON; numbers that are missing,
+negative or no numbers as 0. So no row is lost and none ends the job.
 Digests run over a conversation's segments as a stream, in constant memory; one conversation is
 one stream, because a SHA-256 of its turns can't be put together from parts.
 """
@@ -32,9 +35,12 @@ from . import common
 # The strings that steer models and that no text may hold unescaped.
 START, END = "<|im_start|>", "<|im_end|>"
 PLACEHOLDER = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+KINDS = ("text", *PLACEHOLDER)
 CONTROL = (START, END, *PLACEHOLDER.values(), "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
+#: the same for Spark: an escaped character, and an escaped line feed of a role
+ESCAPED, ROLE_FEED = r"(?s)\\(.)", r"(?<!\\)((?:\\\\)*)\\n"
 
 #: side of an image patch, audio tokens a second, tokens of a document page
 PATCH, AUDIO_RATE, PAGE_TOKENS = 14, 25, 256
@@ -48,42 +54,73 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def escape_role(role: str) -> str:
+    return escape(role).replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
+
+
+def read_parts(listed: str) -> list[dict]:
+    """The parts of a JSON list, those of unknown type as text parts with their JSON; other text is one text part."""
+    try:
+        parts = json.loads(listed)
+    except ValueError:
+        parts = None
+    if not isinstance(parts, list) or not all(isinstance(p, dict) for p in parts):
+        return [{"type": "text", "text": listed}]
+    return [p if p.get("type") in KINDS else {"type": "text", "text": json.dumps(p, ensure_ascii=False)} for p in parts]
+
+
+def amount(part: dict, name: str) -> float:
+    """A part's number, 0 where it is missing or none."""
+    value = part.get(name)
+    return value if isinstance(value, int | float) and not isinstance(value, bool) and 0 < value < 1e9 else 0
+
+
 class Flattener:
     """Visits the parts of one turn in order; ``text`` and ``attachments`` are the outcome."""
 
     def __init__(self) -> None:
         self.pieces: list[str] = []
         self.attachments: list[dict] = []
+        self.length = 0
 
     def visit(self, part: dict) -> None:
-        handler = getattr(self, f"visit_{part.get('type')}", None)
-        if handler is None:
-            raise ValueError(f"unknown part type {part.get('type')!r}")
-        handler(part)
+        kind = part.get("type")
+        if kind not in KINDS:
+            raise ValueError(f"unknown part type {kind!r}")
+        getattr(self, f"visit_{kind}")(part)
 
     def visit_text(self, part: dict) -> None:
-        self.pieces.append(escape(part.get("text") or ""))
+        text = part.get("text")
+        self.add(escape(text if isinstance(text, str) else "" if text is None else json.dumps(text, ensure_ascii=False)))
 
     def visit_image(self, part: dict) -> None:
-        self.attach(part, ceil((part.get("width") or 0) / PATCH) * ceil((part.get("height") or 0) / PATCH))
+        self.attach(part, ceil(amount(part, "width") / PATCH) * ceil(amount(part, "height") / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self.attach(part, ceil((part.get("seconds") or 0) * AUDIO_RATE))
+        self.attach(part, ceil(amount(part, "seconds") * AUDIO_RATE))
 
     def visit_document(self, part: dict) -> None:
-        self.attach(part, (part.get("pages") or 0) * PAGE_TOKENS)
+        self.attach(part, ceil(amount(part, "pages")) * PAGE_TOKENS)
 
     def attach(self, part: dict, tokens: int) -> None:
-        self.attachments.append({"position": sum(map(len, self.pieces)), "type": part["type"], "ref": part.get("ref") or "", "tokens": tokens})
-        self.pieces.append(PLACEHOLDER[part["type"]])
+        self.attachments.append({"position": self.length, "type": part["type"], "ref": str(part.get("ref") or ""), "tokens": tokens})
+        self.add(PLACEHOLDER[part["type"]])
+
+    def add(self, piece: str) -> None:
+        self.pieces.append(piece)
+        self.length += len(piece)
 
     @property
     def text(self) -> str:
         return "".join(self.pieces)
 
 
-ATTACHMENTS = "array<struct<position:int,type:string,ref:string,tokens:int>>"
-SEGMENTS = f"conv_id long, turn long, ord long, segment string, loss_start int, loss_end int, attachments {ATTACHMENTS}"
+ATTACHMENTS = "array<struct<position:int,type:string,ref:string,tokens:long>>"
+SEGMENTS = f"conv_id long, turn long, segment string, loss_start int, loss_end int, attachments {ATTACHMENTS}"
 
 
 def format_turns(turns: DataFrame, parts: str | None = None, loss_role: str = "assistant") -> DataFrame:
@@ -91,28 +128,28 @@ def format_turns(turns: DataFrame, parts: str | None = None, loss_role: str = "a
 
     ``parts`` names a column with the typed parts as a JSON list; without it, or where it is null,
     the text is the only part. [loss_start, loss_end) is the segment's stretch under the loss mask
-    (empty for other roles); ``ord`` breaks ties between rows of one turn.
+    (empty for other roles).
     """
     content = F.col(parts) if parts else F.lit(None).cast("string")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.xxhash64(role, text).alias("ord"), role.alias("role"), text.alias("text"), content.alias("parts"))
-    attachment = pa.list_(pa.struct([("position", pa.int32()), ("type", pa.string()), ("ref", pa.string()), ("tokens", pa.int32())]))
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), content.alias("parts"))
+    attachment = pa.list_(pa.struct([("position", pa.int32()), ("type", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for role, text, listed in zip(*(batch.column(c).to_pylist() for c in ("role", "text", "parts")), strict=True):
                 flat = Flattener()
-                for part in json.loads(listed) if listed is not None else [{"type": "text", "text": text}]:
+                for part in read_parts(listed) if listed is not None else [{"type": "text", "text": text}]:
                     flat.visit(part)
-                head = f"{START}{escape(role)}\n"
+                head = f"{START}{escape_role(role)}\n"
                 body = flat.text
                 span = (len(head), len(head) + len(body)) if role == loss_role else (0, 0)
                 for column, value in zip(out, (f"{head}{body}{END}\n", *span, flat.attachments), strict=True):
                     column.append(value)
             kinds = (pa.string(), pa.int32(), pa.int32(), attachment)
-            columns = [batch.column(c) for c in ("conv_id", "turn", "ord")] + [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "turn", "ord", "segment", "loss_start", "loss_end", "attachments"])
+            columns = [batch.column(c) for c in ("conv_id", "turn")] + [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "turn", "segment", "loss_start", "loss_end", "attachments"])
 
     return common.spread(rows).mapInArrow(run, SEGMENTS)
 
@@ -122,15 +159,20 @@ def read_segment(segment: str) -> tuple[str, str]:
     if not (segment.startswith(START) and segment.endswith(END + "\n")):
         raise ValueError("not a formatted turn")
     role, _, body = segment[len(START) : -len(END) - 1].partition("\n")
-    return unescape(role), unescape(body)
+    return unescape_role(role), unescape(body)
 
 
 def digest(segments: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_attachments, attachment_tokens) read
     back from formatted segments."""
     size = F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
-    rows = segments.select("conv_id", "turn", "ord", "segment", "loss_start", "loss_end", F.size("attachments").cast("long").alias("n"), size.alias("tokens"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ord", "segment")
+    rows = segments.select("conv_id", "turn", "segment", "loss_start", "loss_end", F.size("attachments").cast("long").alias("n"), size.alias("tokens"))
+    # ties: role, then text, both as they were before escaping
+    inside = F.substring("segment", F.lit(len(START) + 1), F.length("segment") - len(START) - len(END) - 1)
+    role = F.substring_index(inside, "\n", 1)
+    text = F.substring(inside, F.length(role) + 2, F.length(inside))
+    plain = [F.regexp_replace(F.regexp_replace(role, ROLE_FEED, "$1\n"), ESCAPED, "$1"), F.regexp_replace(text, ESCAPED, "$1")]
+    ordered = rows.withColumns({"__role": plain[0], "__text": plain[1]}).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "__role", "__text").drop("__role", "__text")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_attachments", "attachment_tokens"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 

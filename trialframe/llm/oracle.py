@@ -26,13 +26,13 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
 ), e AS (
-  SELECT *, list_transform([role, text], lambda x: len(x) + len(x) - len(replace(x, chr(92), '')) + {_ESCAPES}) AS size FROM t
+  SELECT *, list_transform([role, text], lambda x: len(x) + len(x) - len(replace(x, chr(92), '')) + {_ESCAPES}) AS size, len(role) - len(replace(role, chr(10), '')) AS feeds FROM t
 )
 SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(size[1] + size[2] + {len("<|im_start|>") + len("<|im_end|>") + 2})::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(size[1] + size[2] + feeds + {len("<|im_start|>") + len("<|im_end|>") + 2})::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
 
