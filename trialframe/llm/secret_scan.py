@@ -4,18 +4,21 @@
 access keys, and long hexadecimal runs. Matches of a kind are leftmost and don't overlap; those
 that are too short are dropped after matching.
 
-*Battery.* Every other run of at least ``MIN_RUN`` key characters is a candidate. Its encoding (hex,
+*Battery.* Every other run of at least ``min_run`` (MIN_RUN) key characters is tested. Its encoding (hex,
 base32, base64 or alphanumeric) comes from its characters. A run that no alphabet holds, such as NAME=KEY
 or path/KEY, is split: at ``=`` inside it, and a part that still has no alphabet at ``/`` and ``+`` and also, as a
-second reading, at ``-`` and ``_``. Each piece of at least ``MIN_RUN`` is a candidate; pieces of both readings may overlap. Three tests ask whether it looks like
-uniform draws from that alphabet: chi-squared on the characters, the number of runs above and
-below the alphabet's middle, and the correlation of neighbours. A candidate must pass all three
-at level ``ALPHA`` divided by three. Against it stands the corpus: letter-pair counts over all documents
-give the likelihood of the run as ordinary text. The ratio of both likelihoods, exceeded by ordinary
-text with probability at most its inverse, gives a p-value that falls with the run's length.
-The Benjamini-Hochberg rule at rate ``RATE`` is applied within each length class (powers of two),
-over the candidates of all documents, so that many short words don't hide long keys and the share
-of false finds holds in each class.
+second reading, at ``-`` and ``_``. Each piece of at least ``min_run`` is tested; pieces of both readings may overlap. Shorter runs
+aren't tested: random characters of their length can't be told from ordinary ones at this rate. Three tests ask whether a run looks like
+uniform draws from its alphabet: chi-squared on the characters, the number of runs above and
+below the alphabet's middle, and the correlation of neighbours. A run must pass all three at level ``ALPHA`` divided by three.
+
+*False discoveries.* Against uniform draws stands the corpus: letter-pair counts over all documents give the likelihood of the run as
+ordinary text. The evidence is the ratio of both likelihoods, times a weight from the battery: the geometric mean over the three tests of
+(1 + POWER) p ** POWER. Under uniform draws each of these has mean 1 or less, whatever the dependence of the tests, and so
+under ordinary text the evidence has mean 1 or less: its inverse is a p-value. It falls with the run's length, and rises as the battery finds
+the run less like uniform draws. The Benjamini-Hochberg rule at rate ``rate`` (RATE) is applied to it within each length class (powers of
+two), over all runs tested in all documents, those that fail the battery included; for inverses of such evidence it holds under any dependence.
+So many short words don't hide long keys, and the share of false finds is bounded in each class.
 
 Null text counts as empty. Rows with equal ids are scanned as they are, one row each.
 """
@@ -42,8 +45,7 @@ LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 #: every assignment holds one of these
 HINTS = (b"passw", b"secret", b"token", b"api")
 
-MIN_RUN, ALPHA, RATE = 20, 0.01, 0.001
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
+MIN_RUN, ALPHA, RATE, POWER = 20, 0.01, 0.001, 2
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
@@ -52,10 +54,12 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
+#: the number of each byte in its alphabet
+_NUMBER = {name: np.array([max(letters.find(chr(b)), 0) for b in range(256)]) for name, letters in ALPHABETS.items()}
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 #: symbols of the text model: each key character, and one for all else
-_SYMBOL = np.zeros(256, np.int64)
+_SYMBOL = np.zeros(256, np.uint16)
 _SYMBOL[[ord(c) for c in ALPHABETS["alphanumeric"] + "+/_=-"]] = np.arange(1, 68)
 N_SYMBOLS = 68
 
@@ -71,21 +75,21 @@ _PART = re.compile(r"[^=]+(?:=+\Z)?")
 _READINGS = (re.compile(r"[^+/]+"), re.compile(r"[^_-]+"))
 
 
-def run_pieces(run: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, alphabet) of what is tested of a run: all of it if one alphabet holds it, or else its pieces of MIN_RUN or more."""
+def run_pieces(run: str, min_run: int = MIN_RUN) -> Iterator[tuple[int, int, str]]:
+    """(start, end, alphabet) of what is tested of a run: all of it if one alphabet holds it, or else its pieces of ``min_run`` or more."""
     if (name := encoding(run)) is not None:
         yield 0, len(run), name
         return
     for part in _PART.finditer(run):
         a, b = part.span()
-        if b - a < MIN_RUN:
+        if b - a < min_run:
             continue
         if (name := encoding(part[0])) is not None:
             yield a, b, name
             continue
         for reading in _READINGS:
             for m in reading.finditer(run, a, b):
-                if m.end() - m.start() >= MIN_RUN and (name := encoding(m[0])) is not None:
+                if m.end() - m.start() >= min_run and (name := encoding(m[0])) is not None:
                     yield *m.span(), name
 
 
@@ -95,13 +99,12 @@ def two_sided(z: float) -> float:
 
 def battery(run: str, name: str) -> tuple[float, float, float]:
     """p-values of uniform draws: character counts, runs about the middle, neighbours' correlation."""
-    letters = ALPHABETS[name]
-    k = len(letters)
-    x = np.array([letters.index(c) for c in run.rstrip("=")], float)
-    n = len(x)
+    k = len(ALPHABETS[name])
+    number = _NUMBER[name][np.frombuffer(run.rstrip("=").encode(), np.uint8)]
+    x, n = number.astype(float), len(number)
     if n < 3:
         return 0.0, 0.0, 0.0
-    counts = np.bincount(x.astype(int), minlength=k)
+    counts = np.bincount(number, minlength=k)
     chi = float(((counts - n / k) ** 2).sum() * k / n)
     # exact mean and variance under uniform draws, cube-root normal approximation of the upper tail
     mean, variance = k - 1, 2 * (k - 1) * (n - 1) / n
@@ -122,6 +125,11 @@ def battery(run: str, name: str) -> tuple[float, float, float]:
     return p_chi, p_runs, p_serial
 
 
+def log_weight(tests: tuple[float, float, float]) -> float:
+    """Logarithm of the battery's weight in the evidence."""
+    return sum(math.log1p(POWER) + POWER * math.log(max(p, 1e-300)) for p in tests) / len(tests)
+
+
 class TextModel:
     """Probability of a character after another one, from counts over all documents."""
 
@@ -129,12 +137,21 @@ class TextModel:
         smooth = counts + 0.5
         self.log = np.log(smooth / smooth.sum(axis=1, keepdims=True))
 
-    def p_value(self, run: str, name: str) -> float:
-        """Bound on the chance that ordinary text favours uniform draws as much as this run does."""
+    def log_ratio(self, run: str, name: str) -> float:
+        """Logarithm of the likelihood of uniform draws over that of ordinary text."""
         core = run.rstrip("=").encode()
         s = _SYMBOL[np.frombuffer(core, np.uint8)]
-        as_text = float(self.log[np.r_[0, s[:-1]], s].sum())
-        return math.exp(min(0.0, as_text + len(core) * math.log(len(ALPHABETS[name]))))
+        return -float(self.log[np.r_[0, s[:-1]], s].sum()) - len(core) * math.log(len(ALPHABETS[name]))
+
+    def p_value(self, run: str, name: str) -> float:
+        """p-value of a run under ordinary text; 1 where the likelihood or the battery is against uniform draws."""
+        ratio = self.log_ratio(run, name)
+        if ratio <= 0:  # no weight of the battery can make up for it beyond log(1 + POWER)
+            return 1.0
+        tests = battery(run, name)
+        if min(tests) < ALPHA / 3:
+            return 1.0
+        return math.exp(min(0.0, -ratio - log_weight(tests)))
 
 
 def pair_counts(docs: DataFrame) -> np.ndarray:
@@ -147,7 +164,9 @@ def pair_counts(docs: DataFrame) -> np.ndarray:
             for a, b in common.text_slices(strings):
                 raw, offsets = common.byte_view(strings.slice(a, b - a))
                 symbols = _SYMBOL[np.insert(raw, offsets[:-1], 0)]
-                total += np.bincount(symbols[:-1] * N_SYMBOLS + symbols[1:], minlength=len(total)) if len(symbols) > 1 else 0
+                pairs = symbols[:-1] * np.uint16(N_SYMBOLS) + symbols[1:]
+                for x in range(0, len(pairs), 1 << 18):  # bincount makes 64-bit numbers of them
+                    total += np.bincount(pairs[x : x + (1 << 18)], minlength=len(total))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["pair", "n"])
 
@@ -170,27 +189,29 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[tuple[int, int, int]], model: TextModel) -> Iterator[tuple[int, int, float]]:
-    """(start, end, p) of the runs outside the fixed formats that pass the battery."""
-    for m in CANDIDATE.finditer(text):
-        for x, y, name in run_pieces(m[0]):
+def tested_runs(text: str, base: list[tuple[int, int, int]], model: TextModel, min_run: int = MIN_RUN) -> Iterator[tuple[int, int, float]]:
+    """(start, end, p) of all runs outside the fixed formats."""
+    for m in re.finditer(rf"[A-Za-z0-9+/_=-]{{{min_run},}}", text):
+        for x, y, name in run_pieces(m[0], min_run):
             a, b = m.start() + x, m.start() + y
-            if any(s < b and a < e for s, _, e in base):
-                continue
-            p = model.p_value(text[a:b], name)
-            if p < 1 and min(battery(text[a:b], name)) >= ALPHA / 3:
-                yield a, b, p
+            if not any(s < b and a < e for s, _, e in base):
+                yield a, b, model.p_value(text[a:b], name)
+
+
+def candidates(text: str, base: list[tuple[int, int, int]], model: TextModel) -> Iterator[tuple[int, int, float]]:
+    """The tested runs that aren't ruled out."""
+    return (run for run in tested_runs(text, base, model) if run[2] < 1)
 
 
 def length_class(n):
     return F.floor(F.log2(n)).cast("int")
 
 
-def cutoffs(found: DataFrame) -> dict[int, float]:
-    """Benjamini-Hochberg p-value limit of each length class, over all candidates of the corpus.
+def cutoffs(found: DataFrame, rate: float = RATE) -> dict[int, float]:
+    """Benjamini-Hochberg p-value limit of each length class, over all runs (start, end, p) tested in the corpus.
 
     p-values are rounded up to a fixed grid of 1/8 powers of two, so that counts on the grid (a
-    bounded table) stand for the order of all candidates.
+    bounded table) stand for the order of all runs.
     """
     step = F.when(F.col("p") <= 0, F.lit(-1600)).otherwise(F.greatest(F.ceil(F.log2("p") * 8), F.lit(-1600))).cast("int")
     rows = found.select(length_class(F.col("end") - F.col("start")).alias("length"), step.alias("step")).groupBy("length", "step").count()
@@ -202,7 +223,7 @@ def cutoffs(found: DataFrame) -> dict[int, float]:
         total, rank, limit = sum(c for _, c in steps), 0, 0.0
         for step_, c in sorted(steps):
             rank += c
-            if 2 ** (step_ / 8) <= RATE * rank / total:
+            if 2 ** (step_ / 8) <= rate * rank / total:
                 limit = 2 ** (step_ / 8)
         limits[length] = limit
     return limits
@@ -211,9 +232,12 @@ def cutoffs(found: DataFrame) -> dict[int, float]:
 SPAN_TYPE = "array<struct<start:int,kind:int,end:int>>"
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN, rate: float = RATE) -> DataFrame:
     """All columns of ``docs`` but clashing ones, with ``base`` and ``spans``: arrays of (start, kind number, end)
-    in code points, ``base`` the fixed formats, ``spans`` with the runs that the battery adds."""
+    in code points, ``base`` the fixed formats, ``spans`` with the runs that the battery adds.
+
+    ``min_run``: shortest run that is tested; ``rate``: bound on the share of false finds in each length class.
+    """
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in ("base", "spans", "found")]
     rows = common.spread(docs.select(*keep))
@@ -230,13 +254,13 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                     raw = value.as_buffer().to_pybytes()
                     own = base_spans(t := raw.decode(), raw)
                     base.append([{"start": s, "kind": k, "end": e} for s, k, e in own])
-                    found.append([{"start": s, "end": e, "p": p} for s, e, p in candidates(t, own, model.value)])
+                    found.append([{"start": s, "end": e, "p": p} for s, e, p in tested_runs(t, own, model.value, min_run)])
                 columns = [batch.column(c).slice(a, b - a) for c in keep]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(base, span), pa.array(found, more)], [*keep, "base", "found"])
 
     schema = common.with_fields(docs.select(*keep), f"base {SPAN_TYPE}, found array<struct<start:int,end:int,p:double>>")
     scanned = common.written(rows.mapInArrow(run, schema), "secrets")
-    limits = cutoffs(scanned.select(F.explode("found").alias("f")).select("f.*"))
+    limits = cutoffs(scanned.select(F.explode("found").alias("f")).select("f.*"), rate)
     added = F.array().cast(SPAN_TYPE)
     if limits:
         limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
