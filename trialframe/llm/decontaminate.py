@@ -12,13 +12,13 @@ exact containment of word sequences over the whole document.
 
 Words are runs of characters other than ASCII blanks and punctuation, in lower case. An item of
 fewer words than a shingle is one shingle, its whole sequence. Items without words and null
-texts match nothing. The items are indexed in blocks of bounded size, each sent to the executors
-once and searched in all documents; documents are never shuffled.
+texts match nothing. The items are indexed in blocks of bounded size (BLOCK_BYTES of distinct items), each sent to the executors
+once and searched in all documents; documents are never shuffled. A benchmark is far smaller than the corpus; one of many blocks costs a pass
+over the documents for each.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 from math import ceil
@@ -26,7 +26,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, words
@@ -49,77 +49,98 @@ def sequences(raw: bytes, starts: list[int], lens: list[int], width: int) -> set
 
 
 class ItemIndex:
-    """Sketches and exact shingles of one block of items."""
+    """Sketches and words of one block of items, as flat arrays: some five bytes for each byte of text."""
 
-    def __init__(self, items: list[Row], shingle: int, threshold: float):
-        strings = common.plain_strings(pa.array([r["text"] for r in items], pa.string()))
-        raw, starts, lens, bounds = slice_words(strings)
+    #: exact shingle sets of recently met items that a worker keeps
+    KEPT = 1000
+
+    def __init__(self, ids: list[int], texts: list[str], times: list[int], shingle: int, threshold: float):
+        self.ids, self.times = ids, times
+        raw, starts, lens, bounds = slice_words(common.plain_strings(pa.array(texts, pa.string())))
+        self.data, self.starts, self.lens, self.bounds = raw.tobytes(), starts.astype(np.uint32), lens.astype(np.uint32), bounds
+        self.width = np.minimum(shingle, np.diff(bounds))
         (hashes,) = words.word_hashes(raw, starts, lens)
-        data = raw.tobytes()
-        self.items: list[tuple[int, int, set[bytes]]] = []
-        probes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for row, a, b in zip(items, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            width = min(shingle, b - a)
+        sketches: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        for i, (a, b, width) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), self.width.tolist(), strict=True)):
             if not width:
                 continue
-            exact = sequences(data, starts[a:b].tolist(), lens[a:b].tolist(), width)
             sketch = np.unique(words.window_hashes(hashes[a:b], width))
             # least hashes, as many as the largest item of this size class may lack, and one more
-            top = (1 << len(exact).bit_length()) - 1
-            m = top - ceil(threshold * top) + 1
-            for h in sketch[:m].tolist():
-                probes[width][h].add(len(self.items))
-            self.items.append((row["item_id"], width, exact))
-        #: for each width: the probe hashes in order, the items of each, and a bit filter on the low bits
+            top = (1 << len(sketch).bit_length()) - 1
+            sketch = sketch[: top - ceil(threshold * top) + 1]
+            sketches.setdefault(width, []).append(sketch)
+            owners.setdefault(width, []).append(np.full(len(sketch), i, np.uint32))
+        #: for each width: the probe hashes in order, where the items of each begin, these items, and a bit filter on the low bits
         self.probes = {}
-        for width, table in probes.items():
-            keys = np.array(sorted(table), np.uint64)
+        for width in sketches:
+            every, owner = np.concatenate(sketches[width]), np.concatenate(owners[width])
+            order = np.argsort(every, kind="stable")
+            keys, first = np.unique(every[order], return_index=True)
             seen = np.zeros(1 << 20, bool)
             seen[keys & np.uint64((1 << 20) - 1)] = True
-            self.probes[width] = (keys, [sorted(table[k]) for k in keys.tolist()], seen)
-
-    def search(self, strings: pa.LargeStringArray, threshold: float) -> list[tuple[int, int, int, int]]:
-        """(text number, item_id, shingles held, shingles of the item) of each contained item."""
+            self.probes[width] = (keys, np.append(first, len(order)), owner[order], seen)
+        self.exact: dict[int, set[bytes]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"exact": {}}
+
+    def shingles(self, i: int) -> set[bytes]:
+        """The distinct word sequences of an item."""
+        found = self.exact.get(i)
+        if found is None:
+            if len(self.exact) >= self.KEPT:
+                self.exact.clear()
+            own = slice(self.bounds[i], self.bounds[i + 1])
+            found = self.exact[i] = sequences(self.data, self.starts[own].tolist(), self.lens[own].tolist(), int(self.width[i]))
+        return found
+
+    def search(self, strings: pa.LargeStringArray, threshold: float) -> list[tuple[int, int, int, int, int]]:
+        """(text number, item_id, times, shingles held, shingles of the item) of each contained item."""
         raw, starts, lens, bounds = slice_words(strings)
         (hashes,) = words.word_hashes(raw, starts, lens)
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         pairs = set()
-        for width, (keys, items, seen) in self.probes.items():
+        for width, (keys, first, items, seen) in self.probes.items():
             h = words.window_hashes(hashes, width)
             near = np.flatnonzero((h <= keys[-1]) & seen[h & np.uint64((1 << 20) - 1)])
             near = near[owner[near] == owner[near + width - 1]]
             at = np.minimum(np.searchsorted(keys, h[near]), len(keys) - 1)
             hit = keys[at] == h[near]
             for text, k in set(zip(owner[near[hit]].tolist(), at[hit].tolist(), strict=True)):
-                pairs.update((text, i) for i in items[k])
+                pairs.update((text, i) for i in items[first[k] : first[k + 1]].tolist())
         out, held = [], {}
         data = raw.tobytes() if pairs else b""
         for text, i in sorted(pairs):
-            item_id, width, exact = self.items[i]
+            width, exact = int(self.width[i]), self.shingles(i)
             if (text, width) not in held:
                 a, b = bounds[text], bounds[text + 1]
                 held = {(text, width): sequences(data, starts[a:b].tolist(), lens[a:b].tolist(), width)} | {k: v for k, v in held.items() if k[0] == text}
-            common_ones = len(exact & held[text, width])
-            if common_ones >= threshold * len(exact):
-                out.append((text, item_id, common_ones, len(exact)))
+            shared = len(exact & held[text, width])
+            if shared >= threshold * len(exact):
+                out.append((text, self.ids[i], self.times[i], shared, len(exact)))
         return out
 
 
 def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment) of all documents that hold an item.
 
-    ``docs`` (doc_id, text), ``items`` (item_id, text). Rows with equal ids and texts give one row each.
+    ``docs`` (doc_id, text), ``items`` (item_id, text). Rows with equal ids and texts give one row each; repeats of an
+    item are indexed once.
     """
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("times"))
     n_bytes = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     n_blocks = -(-n_bytes // BLOCK_BYTES) or 1
     rows = common.spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    schema = "doc_id long, item_id long, n_shared long, n_shingles long"
+    schema = "doc_id long, item_id long, times long, n_shared long, n_shingles long"
     found = []
     for block in range(n_blocks):
         own = items if n_blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = spark.sparkContext.broadcast(ItemIndex(own.collect(), shingle, threshold))
+        listed = own.toArrow()
+        index = spark.sparkContext.broadcast(ItemIndex(*(listed.column(c).to_pylist() for c in ("item_id", "text", "times")), shingle, threshold))
+        del listed
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -128,10 +149,12 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float
                     hits = index.value.search(strings.slice(a, b - a), threshold)
                     if hits:
                         text, *rest = (pa.array(x, pa.int64()) for x in zip(*hits, strict=True))
-                        yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a).take(text), *rest], ["doc_id", "item_id", "n_shared", "n_shingles"])
+                        yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a).take(text), *rest], ["doc_id", "item_id", "times", "n_shared", "n_shingles"])
 
         found.append(rows.mapInArrow(run, schema))
-    return reduce(DataFrame.union, found).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")
+    every = reduce(DataFrame.union, found).select("doc_id", "item_id", "n_shared", "n_shingles", each).drop("nth")
+    return every.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
 def clean(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
