@@ -155,7 +155,7 @@ def collections_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.lit("match").alias("kind"), "name", "n").union(known).union(read.select(F.lit("trial"), "trial_key", F.lit(1).cast("long")))
 
 
-@query("SELECT md5('inclusion:' || text) AS cache_key, any_value(CASE WHEN text = '' THEN NULL ELSE to_json(lower(string_split(text, ' ')[1])) END) AS answer FROM documents GROUP BY 1")
+@query("SELECT md5('inclusion:' || text) AS cache_key, any_value(CASE WHEN text = '' THEN NULL ELSE to_json(lower(string_split(text, ' ')[1]))::VARCHAR END) AS answer FROM documents GROUP BY 1")
 def annotation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a stream of texts to annotate (a toy function: the first word in lower case), answered once each into the store."""
     path = folder(spark)
