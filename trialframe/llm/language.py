@@ -6,9 +6,10 @@ window, and a softmax layer; a text's probabilities are the mean over its window
 their letters. For use, the embedding and the filters are folded into two tables over byte
 pairs, so that a convolution is two table rows added up.
 
-The network is fitted on the driver to a bounded sample: of each language at most about
-``per_language`` labelled rows (chosen by a hash of the id, the same at any partitioning), and of
-each the first ``sample_chars`` characters. Everything else covers all rows and whole texts.
+The network is fitted on the driver to a bounded sample: at most about ``per_language`` different labelled rows of each language
+and about ``max_rows`` in all, but LEAST_ROWS of each language at least (chosen by a hash of id and text, the same at any
+partitioning), and of each up to ``pieces`` stretches of WINDOW characters that lie evenly over its whole text. Every language
+that a row is labelled with is learnt. Everything else covers all rows and whole texts.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows with a null id are never
 learnt from and are not held out. Without any labelled row everything is ``und``.
@@ -28,6 +29,8 @@ from . import common
 
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
 SPAN = max(WIDTHS)
+#: rows of a language that are learnt from, if it has so many
+LEAST_ROWS = 10
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
@@ -133,17 +136,24 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = 400, sample_chars: int = 2048, max_languages: int = 500) -> ByteNet | None:
+def train(docs: DataFrame, per_language: int = 400, max_rows: int = 20_000, pieces: int = 8) -> ByteNet | None:
     """A network fitted to labelled rows of ``docs`` (doc_id, text, lang) that are not held out."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
+    spark = docs.sparkSession
+    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "text", "lang")
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
         return None
     languages = sorted(counts)
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / counts[lang]))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) / 1_000_000
-    picked = labelled.filter(draw < share[F.col("lang")])
-    rows = sorted((r["doc_id"], languages.index(r["lang"]), r["text"]) for r in picked.select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("text")).collect())
+    each = min(per_language, max(LEAST_ROWS, max_rows // len(languages)))
+    shares = spark.createDataFrame([(i, lang, min(1.0, each / counts[lang])) for i, lang in enumerate(languages)], "number int, lang string, share double")
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1_000_000)) / 1_000_000
+    size = F.length("text")
+    n = F.greatest(F.lit(1), F.least(F.lit(pieces), F.ceil(size / WINDOW))).cast("int")
+    at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.floor(i * F.greatest(size - WINDOW, F.lit(0)) / F.greatest(n - 1, F.lit(1))).cast("int"))
+    sample = F.transform(at, lambda x: F.substring("text", x + 1, F.lit(WINDOW)))
+    # the languages' table is as small as the network; equal rows are drawn together, and count once
+    picked = labelled.join(F.broadcast(shares), "lang").filter(draw < F.col("share")).select("doc_id", "number", sample.alias("sample")).distinct()
+    rows = sorted((r["doc_id"], r["number"], piece) for r in picked.collect() for piece in r["sample"])
     strings = pc.utf8_lower(pa.array([r[2] for r in rows], pa.large_string()))
     windows, owner = cut_windows(*common.byte_view(strings))
     labels = np.array([r[1] for r in rows], np.int64)[owner]
