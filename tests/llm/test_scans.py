@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from trialframe.llm import chat_format, common, decontaminate, language, secret_scan, topk_search
 
+from .conftest import SF
+
 
 def tokens(text):
     return [w for w in re.split(r"[\x09-\x0D\x20!-/:-@\[-`{-~]+", (text or "").lower()) if w]
@@ -74,6 +76,30 @@ def test_language_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_language_is_learnt_from_whole_texts(spark):
+    """More languages than rows of each, and texts that differ only far from their start."""
+    rng = random.Random(9)
+    rows = [(i, f"text {i}", f"l{i % 600}") for i in range(2400)]
+    assert language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_rows=600).languages == sorted({r[2] for r in rows})
+    word = {"x": "hjumo", "y": "tasebi"}
+    text = lambda k: "same start " * 500 + " ".join("".join(rng.choices(word[k], k=5)) for _ in range(600))
+    rows = [(i, text("xy"[i % 2]), "xy"[i % 2]) for i in range(120)] + [(1000 + i, rows[0][1], "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(df.filter("doc_id < 1000"), language.train(df)).collect()
+    assert np.mean([r.lang_pred == r.lang for r in found]) > 0.95
+
+
+def test_repeated_items_in_blocks(spark, docs, monkeypatch):
+    """Items in several blocks, some of them twice, and two ids of one text."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    once = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
+    assert once
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(decontaminate.ItemIndex, "KEPT", 1)
+    again = decontaminate.leaks(docs, items.union(items).union(items.selectExpr("item_id + 100000", "text"))).collect()
+    assert sorted(map(tuple, again)) == sorted([*once, *once, *((d, i + 100_000, *r) for d, i, *r in once)])
+
+
 def test_language_gradients():
     rng = np.random.default_rng(0)
     net = language.ByteNet(["a", "b", "c"], seed=3)
@@ -160,6 +186,52 @@ def test_battery():
     assert secret_scan.encoding("deadbeef") == "hex" and secret_scan.encoding("XY2=") == "base32" and secret_scan.encoding("a+-") is None
 
 
+def test_long_runs_and_weights():
+    rng = random.Random(2)
+    long = "".join(rng.choice(secret_scan.ALPHABETS["base64"]) for _ in range(300_000))
+    assert min(secret_scan.battery(long, "base64")) >= secret_scan.ALPHA / 3 and max(secret_scan.battery("ab" * 100_000, "alphanumeric")) < 1e-6
+    # under uniform draws the weight has mean 1 or less
+    for name, n in (("hex", 24), ("base64", 40), ("alphanumeric", 200)):
+        draws = ["".join(rng.choices(secret_scan.ALPHABETS[name], k=n)) for _ in range(1500)]
+        assert np.mean([np.exp(secret_scan.log_weight(secret_scan.battery(x, name))) for x in draws]) < 1.05
+    model = secret_scan.TextModel(np.ones((secret_scan.N_SYMBOLS, secret_scan.N_SYMBOLS)))
+    model.log = model.log - 1.0  # any run is a little less likely as text
+    ratio = lambda x: model.log_ratio(x, "alphanumeric")
+    even, odd = (x[:40] for x in sorted(("".join(rng.choices(secret_scan.ALPHABETS["alphanumeric"], k=40)) for _ in range(200)), key=lambda x: -min(secret_scan.battery(x, "alphanumeric")))[::199])
+    assert abs(ratio(even) - ratio(odd)) < 1e-9 and model.p_value(even, "alphanumeric") < model.p_value(odd, "alphanumeric")
+
+
+def test_false_discoveries_against_brute_force(spark):
+    """Planted keys among ordinary long runs: the limits are those of the plain Benjamini-Hochberg rule over all tested runs, nearly all keys are found, and nearly nothing else."""
+    rng = random.Random(3)
+    syllables = ["tion", "er", "an", "the", "re", "or", "hal", "ing", "con", "de", "mo", "li", "ta", "vi", "su", "pro"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    kinds = [lambda: word(9), lambda: "".join(word(2).capitalize() for _ in range(5)), lambda: "/".join(word(2) for _ in range(6)), lambda: "-".join(word(3) for _ in range(4)), lambda: f"{word(6)}{rng.randrange(10**6)}{word(3)}"]
+    rows, keys = [], set()
+    for i in range(600):
+        words = [word(rng.randrange(1, 4)) for _ in range(60)] + [rng.choice(kinds)() for _ in range(8)]
+        if i % 3 == 0:
+            key = "".join(rng.choices(secret_scan.ALPHABETS[rng.choice(["base64", "alphanumeric", "base64url"])], k=rng.randrange(28, 65)))
+            keys.add((i, key))
+            words.append(key)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secret_scan.TextModel(secret_scan.pair_counts(df))
+    tested = [(i, t[a:b], p) for i, t in rows for a, b, p in secret_scan.tested_runs(t, secret_scan.base_spans(t, t.encode()), model)]
+    assert len(tested) > 3000
+    want = set()
+    for length in {len(x).bit_length() for _, x, _ in tested}:
+        own = sorted(((2 ** (np.ceil(max(np.log2(p), -200) * 8) / 8), i, x) for i, x, p in tested if len(x).bit_length() == length), key=lambda r: r[0])
+        limit = max((p for rank, (p, *_) in enumerate(own, 1) if p <= secret_scan.RATE * sum(q <= p for q, *_ in own) / len(own)), default=0)
+        want |= {(i, x) for p, i, x in own if p <= limit}
+    texts = dict(rows)
+    got = {(r.doc_id, texts[r.doc_id][s.start : s.end]) for r in secret_scan.scan(df).select("doc_id", "spans").collect() for s in r.spans if s.kind == 3}
+    assert got == want
+    assert len(got - keys) <= 0.02 * len(got) and len(got & keys) >= 0.9 * len(keys)
+    assert not {x.kind for r in secret_scan.scan(df, min_run=100).select("spans").collect() for x in r.spans} & {3}
+
+
 def test_keys_with_names_and_paths():
     key, url = "ztys355NrAlpgsJGcDc2bhARePpktWyNYxSWHv2t", "zty-355NrAlp_sJGcDc2bhARePpktWyNYxSWHv2t"
     model = secret_scan.TextModel(np.zeros((secret_scan.N_SYMBOLS, secret_scan.N_SYMBOLS)) + np.r_[1000.0, np.ones(secret_scan.N_SYMBOLS - 1)])
@@ -205,6 +277,31 @@ def test_top_k_against_brute_force(spark, monkeypatch, k, n, hot):
     assert sorted(map(tuple, got)) == sorted(brute_top(whole, [i for i in whole if i % 20 == 0], k))
 
 
+@pytest.mark.parametrize("scale", [1e9, 3e13, 1e17])
+def test_top_k_of_large_vectors(spark, scale):
+    """Scores beyond 64 bits count as the last number of 64 bits; others are exact."""
+    rng = random.Random(int(scale))
+    rows = {i: [rng.uniform(-2, 2) * rng.choice([1, 1, scale, scale / 1e6]) for _ in range(3)] for i in range(1, 150)}
+    rows |= {0: [scale, 0.0, 0.0], 200: [1e18, 0.0, 0.0], 20: [1.0, 1.0, 1.0], 40: [scale, -scale, 0.25], 41: [scale, scale, 1.0]}
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows.items() if all(abs(64 * x) < 2**63 for x in v)}  # 200, at least, has another
+    assert 200 not in whole
+    best = {i: [] for i in whole if i % 20 == 0}
+    for q, own in best.items():
+        scores = {c: max(-(2**63) + 1, min(2**63 - 1, sum(x * y for x, y in zip(whole[q], v, strict=True)))) for c, v in whole.items() if c != q}
+        own += [(q, r + 1, c, scores[c]) for r, c in enumerate(sorted(scores, key=lambda c: (-scores[c], c))[:20])]
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk_search.top_k(df, F.col("vec_id") % 20 == 0).collect())) == sorted(x for own in best.values() for x in own)
+
+
+def test_wide_scores_are_exact():
+    rng = np.random.default_rng(5)
+    for bits in (20, 31, 33, 45, 62):
+        q, c = (rng.integers(-(1 << bits), 1 << bits, (n, 5)) for n in (7, 11))
+        exact = [[max(-(2**63) + 1, min(2**63 - 1, sum(int(x) * int(y) for x, y in zip(a, b, strict=True)))) for b in c] for a in q]
+        assert topk_search._wide_scores(q, c).tolist() == exact
+        assert topk_search._scores(q, c).tolist() == exact
+
+
 def test_top_k_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
@@ -255,6 +352,24 @@ def test_typed_parts(spark):
         chat_format.Flattener().visit({"type": "video"})
 
 
+def test_ties_roles_and_broken_parts(spark):
+    """Different texts of one turn go by role and text, roles may hold line feeds, and parts may be anything."""
+    texts = ["b", "a", "<s>", "<", "\\", "é", "B", "a\nb", "\\n", ""]
+    roles = ["a\nb", "a\\nb", "a\\\nb", "a", None, "\n", "<s>\n"]
+    rows = [(c, 0, role, text) for c, role in enumerate(roles) for text in texts] + [(99, 0, role, text) for role in roles for text in texts]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in chat_format.digest(chat_format.format_turns(df)).collect()}
+    for conv in out:
+        own = sorted(((role or "", text) for c, _, role, text in rows if c == conv), key=lambda x: (x[0].encode(), x[1].encode()))
+        assert out[conv].turns_sha256 == hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in own).encode()).hexdigest()
+    for role in roles:
+        assert chat_format.unescape_role(chat_format.escape_role(role or "")) == (role or "")
+    odd = ["no json", "{}", "[1]", '[{"type": "video", "ref": 1}]', '[{"type": "image", "width": "x", "height": -3}, {"type": "audio", "seconds": 1e300}]', '[{"type": "text", "text": 5}]', "[]", None]
+    df = spark.createDataFrame([(i, 0, "assistant", "t", p) for i, p in enumerate(odd)], "conv_id long, turn long, role string, text string, parts string")
+    found = {r.conv_id: chat_format.read_segment(r.segment)[1] for r in chat_format.format_turns(df, parts="parts").collect()}
+    assert found == {0: "no json", 1: "{}", 2: "[1]", 3: '{"type": "video", "ref": 1}', 4: "<|image|><|audio|>", 5: "5", 6: "", 7: "t"}
+
+
 def test_text_slices_cover_all():
     strings = common.plain_strings(pa.array(["a" * 10, None, "b" * 100, "", "c"]))
     assert list(common.text_slices(strings, 20)) == [(0, 2), (2, 3), (3, 5)]

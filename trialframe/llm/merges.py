@@ -26,6 +26,7 @@ class PairTable:
         self.shift = np.uint64(64 - bits)
         self.maybe = np.zeros(1 << bits, bool)
         self.maybe[self._slot(keys)] = True
+        self._plain: dict[int, tuple[int, int]] | None = None
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -41,7 +42,13 @@ class PairTable:
         return rank, out
 
     def plain(self) -> dict[int, tuple[int, int]]:
-        return dict(zip(self.keys[:-1].tolist(), zip(self.ranks[:-1].tolist(), self.outs[:-1].tolist(), strict=True), strict=True))
+        """The table as a dictionary, made once where very long words need it."""
+        if self._plain is None:
+            self._plain = dict(zip(self.keys[:-1].tolist(), zip(self.ranks[:-1].tolist(), self.outs[:-1].tolist(), strict=True), strict=True))
+        return self._plain
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_plain": None}
 
 
 def merge_rounds(symbols: np.ndarray, lens: np.ndarray, table: PairTable, every: bool) -> tuple[np.ndarray, np.ndarray]:
