@@ -7,15 +7,19 @@ shorter fingerprints are used: each text's distinct words give ``TABLES`` finger
 bits with independent bits, and each of these emits itself and its one-bit variants into its own
 table. A pair of near-copies is within two bits in most tables, and unrelated pairs in almost none.
 
-Candidates then have to be within ``FAR`` bits over all tables together, and last their exact shingle
-sets are compared. Every text between which a verified link exists joins one component.
+Candidates further apart than FAR of all TABLES * BITS bits are chance meetings and go; two texts with 80 % of their shingles in common are
+that far apart with a probability of under one in ten thousand even if a third of their distinct words differ. All others are verified by their exact shingle
+sets, and every text between which a verified link exists joins one component.
 
-Exact copies (equal words) are merged before; groups around a variant are kept as bit maps of
+Exact copies (equal words, by digest) are merged before; groups around a variant are kept as bit maps of
 at most BITS + 1 fingerprints. A first pass compares texts with the first text of their fingerprint, and those
-with the first of their group. Where that leaves a group in more than one component, a second pass compares its other
-texts: in groups of up to LISTED texts all pairs between components are listed; the texts of larger groups meet in
-groups of rare shingles, one of which any two near-copies must have in common, again first with the least
-text of each group and then all pairs between components. No group is gathered.
+with the first of their group and the next one. Where that leaves a group of up to LISTED texts in more than one component, all its pairs between components are compared.
+The texts of larger such groups go through an exact join of their shingle sets: a set's shingles are ranked, rare ones first, and two sets of the
+wanted similarity share a shingle that both rank so early that enough can still follow it in both (the prefix and position filters of set-similarity
+joins). Texts that share such a shingle are compared first with the most typical text of its group, the one whose shingles are most frequent, and then, where the
+group still has several components, those outside its largest one with the others. In a family of copies of one text, the first step
+compares each with something near that text, and the filters leave next to nothing for the second, so that pairs
+grow with the number of texts. No group is gathered.
 """
 
 from __future__ import annotations
@@ -24,13 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, components, simhash, words
 
-BITS, TABLES, FAR = 32, 6, 48
-#: pairs are listed in groups of up to this many texts
+BITS, TABLES, FAR = 32, 6, 60
+#: all pairs between components are compared in groups of up to this many texts
 LISTED = BITS
 #: each holds the bits of two tables
 SALTS = (0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
@@ -121,36 +125,72 @@ def ball_members(heads: DataFrame, first: DataFrame, ball: DataFrame) -> DataFra
 
 
 def still_open(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, doc_id, component, n): the members of groups whose n texts are in more than one component so far."""
-    known = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    """The members (key, doc_id, and more) of groups in more than one component so far, with their ``component`` and the group's number ``n``."""
+    known = members.join(classes, F.col("doc_id") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "doc_id").alias("component"))
     known = common.written(known, "members")
-    mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return known.join(mixed.filter("n > 2 AND lo <> hi").select("key", "n"), "key")
+    mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return known.join(mixed.select("key", "n"), "key")
 
 
-def crossing(members: DataFrame) -> DataFrame:
-    """(a, b): all pairs within a group whose components differ, a < b."""
-    left, right = (members.select("key", F.col("doc_id").alias(i), F.col("component").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
-    return left.join(right, "key").filter("a < b AND ca <> cb").select("a", "b").distinct()
+def _near() -> Column:
+    """Whether the signatures of ``l`` and ``r`` are no further apart than FAR bits."""
+    far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
+    return sum(far[1:], far[0]) <= FAR
+
+
+def listed_pairs(members: DataFrame, sign: DataFrame) -> DataFrame:
+    """(a, b): the near pairs between components of small groups."""
+    signed = common.written(members.select("key", "doc_id", "component").join(sign.select("doc_id", *SIGNS), "doc_id"), "listed")
+    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.doc_id") < F.col("r.doc_id")) & (F.col("l.component") != F.col("r.component"))
+    met = signed.alias("l").join(signed.alias("r"), apart & _near())
+    return met.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
 
 
 def rare_shingles(sets: DataFrame, similarity: float) -> DataFrame:
-    """(key, doc_id): of each set the shingles that a set of at least this similarity must share one of.
+    """(key, doc_id, size, rank, typical): of each set the shingles by which it can meet a set of at least this similarity.
 
     Two such sets have ``similarity`` of the larger one in common, so of any order of all shingles, the first
     1 - ``similarity`` of each and one more can't be disjoint. Rare shingles come first, so what a whole family of texts
-    has in common makes no group. Shingles of one set only are counted, not kept.
+    has in common makes no group. Shingles of one set only are ranked first by their number, not kept. ``typical`` is the mean
+    number of sets that hold a shingle of this set.
     """
-    rows = sets.select("doc_id", F.xxhash64("h").alias("own"), F.size("h").alias("size"), F.explode("h").alias("key"))
+    rows = sets.select("doc_id", F.size("h").alias("size"), F.explode("h").alias("key"))
     shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
-    each = Window.partitionBy("doc_id", "own")
-    ranked = shared.withColumn("rank", F.row_number().over(each.orderBy("n", "key"))).withColumn("shared", F.count("*").over(each))
+    each = Window.partitionBy("doc_id")
+    alone = F.col("size") - F.count("*").over(each)
+    ranked = shared.select("key", "doc_id", "size", (F.row_number().over(each.orderBy("n", "key")) + alone).alias("rank"), ((F.sum("n").over(each) + alone) / F.col("size")).alias("typical"))
     prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-6) + 1
-    return ranked.filter(F.col("rank") + F.col("size") - F.col("shared") <= prefix).select("key", "doc_id").distinct()
+    return ranked.filter(F.col("rank") <= prefix)
+
+
+def _can_meet(similarity: float) -> Column:
+    """Whether sets ``l`` and ``r`` may be similar enough if this shingle is the first that they share: no more can be common than
+    what follows it in both."""
+    most = F.least(F.col("l.size") - F.col("l.rank"), F.col("r.size") - F.col("r.rank")) + 1
+    return (F.col("l.component") != F.col("r.component")) & (most >= similarity * (F.col("l.size") + F.col("r.size") - most) - 1e-6)
+
+
+def typical_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the most typical text of each group with the others that it may be similar to."""
+    best = members.groupBy("key").agg(F.max_by(F.struct("doc_id", "size", "rank", "component"), F.struct("typical", "doc_id")).alias("x")).select("key", "x.*")
+    return _pairs(best, members, similarity)
+
+
+def other_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the texts outside the largest component of each group with all others that they may be similar to."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
+    outside = members.join(largest, "key").filter("component <> largest")
+    return _pairs(outside, members, similarity)
+
+
+def _pairs(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & _can_meet(similarity))
+    return met.select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b")).distinct()
 
 
 def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, h): fingerprints of each text's distinct word shingles, in order; the whole text if it is shorter."""
+    """(doc_id, d1, h): digest, and fingerprints of each text's distinct word shingles, in order; the whole text if it is shorter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,10 +200,11 @@ def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
                 raw = simhash._FOLD[raw]
                 starts, lens, bounds = words.byte_words(raw, offsets)
                 (h,) = words.word_hashes(raw, starts, lens)
+                d1, _ = words.sequence_digests(raw, starts, lens, bounds[:-1], bounds[1:])
                 out = [np.unique(words.window_hashes(h[x:y], min(shingle, y - x)) if y > x else h[:0]).view(np.int64) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "h"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(d1), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "d1", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, h array<long>")
+    return docs.mapInArrow(run, "doc_id long, d1 long, h array<long>")
 
 
 def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -175,16 +216,16 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
     signed = common.written(_signed(docs.filter("doc_id IS NOT NULL")), "signatures")
     heads = signed.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), *[F.first(s).alias(s) for s in SIGNS], F.max("n").alias("n"))
     heads = common.written(heads, "heads")
-    sign = heads.groupBy("doc_id").agg(F.min(F.struct("d1", *SIGNS, "n")).alias("x")).select("doc_id", *[f"x.{s}" for s in SIGNS], "x.n").filter("n > 0")
+    sign = heads.groupBy("doc_id").agg(F.min(F.struct("d1", *SIGNS, "n")).alias("x")).select("doc_id", "x.*").filter("n > 0")
+    repeated = not signed.groupBy("doc_id").count().filter("count > 1").isEmpty()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def near(links: DataFrame) -> DataFrame:
-        far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
-        close = links.join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id"))
-        return close.filter(sum(far[1:], far[0]) <= FAR).select("a", "b")
-
     def sets_of(wanted: DataFrame) -> DataFrame:
-        return common.written(_shingles(texts.join(common.small(wanted), "doc_id", "left_semi"), shingle), "shingles")
+        """One shingle set for each wanted id."""
+        found = _shingles(texts.join(common.small(wanted), "doc_id", "left_semi"), shingle)
+        if repeated:  # of the rows of an id the one that stands for it
+            found = found.join(sign.select("doc_id", "d1"), ["doc_id", "d1"], "left_semi").dropDuplicates(["doc_id"])
+        return common.written(found.select("doc_id", "h"), "shingles")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,33 +238,41 @@ def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFr
 
     def settled(classes: DataFrame | None, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """The components after the pairs that are similar enough are linked as well."""
-        pairs = common.written(pairs, "close")
+        pairs, own = common.written(pairs, "close"), sets
         if classes is not None and pairs.isEmpty():
+            common.drop(pairs)
             return classes
-        if sets is None:
-            sets = sets_of(common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted"))
-        both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
+        if own is None:
+            wanted = common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+            own = sets_of(wanted)
+            common.drop(wanted)
+        both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
         # a bound on the similarity of two sets
         both = both.filter(F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y")))
         links = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
         if classes is not None:
             links = links.union(classes.select("node", "component"))
         with common.arrow_batches(docs.sparkSession, 500):  # a row holds two whole shingle sets
-            return components.components(links)
+            found = components.components(links)
+        common.drop(pairs, *([] if sets is not None else [own]))
+        return found
 
     first, ball = balls(sign)
-    stars = star_links(sign, first, ball)
-    classes = settled(None, near(stars))
+    stars = star_links(sign, first, ball).join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id"))
+    classes = settled(None, stars.filter(_near()).select("a", "b"))
     # a link that was not verified says nothing about the others of its group
     rest = common.written(still_open(ball_members(sign, first, ball), classes), "open")
-    classes = settled(classes, near(crossing(rest.filter(F.col("n") <= LISTED))))
+    common.drop(first, ball)
+    classes = settled(classes, listed_pairs(rest.filter(F.col("n") <= LISTED), sign))
     wanted = common.written(rest.filter(F.col("n") > LISTED).select("doc_id").distinct(), "wanted")
+    common.drop(rest)
     if not wanted.isEmpty():
         sets = sets_of(wanted)
         rare = common.written(rare_shingles(sets, similarity), "rare")
-        star = rare.join(rare.groupBy("key").agg(F.min("doc_id").alias("a")), "key").select("a", F.col("doc_id").alias("b"))
-        classes = settled(classes, star.filter("a <> b").distinct(), sets)
-        classes = settled(classes, crossing(still_open(rare, classes)), sets)
+        classes = settled(classes, typical_pairs(still_open(rare, classes), similarity), sets)
+        classes = settled(classes, other_pairs(still_open(rare, classes), similarity), sets)
+        common.drop(rare, sets)
+    common.drop(wanted)
     member = heads.select("d1", "d2", F.col("doc_id").alias("head")).join(classes, F.col("head") == F.col("node"), "left")
     member = member.select("d1", "d2", F.coalesce("component", "head").alias("component_id"))
     return signed.join(member, ["d1", "d2"]).select("doc_id", "component_id")
