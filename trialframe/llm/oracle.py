@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import CONTROL
+from .license_scan import LOWER, TEMPLATES, UPPER, Template
 
 OP1 = """
 WITH v AS (
@@ -70,4 +71,36 @@ FROM shingles d JOIN items i ON d.kind = 'doc' AND d.s = i.s
 GROUP BY d.id, i.item_id HAVING count(*) >= 0.8 * any_value(i.n)
 """
 
-SQL = {"op1_topk_search": OP1, "op4_chat_format": OP4, "op5_substring_dedup": OP5, "op10_decontamination": OP10}
+
+
+def _template_row(template: Template) -> str:
+    words = ", ".join(f"'{w}'" for w in template.words)
+    return f"('{template.label}', {template.consecutive}, {template.base}, {template.stride}, {template.need}, [{words}])"
+
+
+# every block of every text is compared with every template
+OP11 = rf"""
+WITH t AS (
+  SELECT *, list_distinct(words) AS own FROM (VALUES {", ".join(map(_template_row, TEMPLATES))}) AS t(label, consecutive, base, stride, need, words)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), near AS (
+  SELECT d.*, t.*, unnest(range(0, (len(w) + stride - 1) // stride)) AS b FROM d JOIN t ON len(list_intersect(w, own)) >= need
+), blocks AS (
+  SELECT *, len(list_intersect(list_distinct(w[b * stride + 1 : (b + 2) * stride]), own)) AS shared FROM near
+), met AS (
+  SELECT r, label, base, shared / len(own) AS containment,
+    CASE WHEN consecutive THEN list_filter(range(b * stride, (b + 1) * stride), lambda i: w[i + 1 : i + len(words)] = words) END AS places
+  FROM blocks WHERE shared >= need
+), kept AS (
+  SELECT r, max(containment) AS score, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
+    sum(len(places)) FILTER (base) AS n_base, min(list_min(places)) FILTER (base) AS first_word, max(list_max(places)) FILTER (base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels
+  FROM met WHERE places IS NULL OR len(places) > 0 GROUP BY r
+)
+SELECT doc_id::BIGINT AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN kept USING (r)
+"""
+
+SQL = {"op11_license_scan": OP11, "op1_topk_search": OP1, "op4_chat_format": OP4, "op5_substring_dedup": OP5, "op10_decontamination": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, common, decontaminate, language, oracle, pieces, recompress, secret_scan, simhash, token_counts, token_files, topk_search
+from . import chat_format, common, decontaminate, language, license_scan, oracle, pieces, recompress, secret_scan, simhash, token_counts, token_files, topk_search
 
 
 def vocabulary(name: str) -> str:
@@ -74,6 +74,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_token_counts": op2_token_counts,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_decontamination": op10_decontamination,
+    "op11_license_scan": op11_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
