@@ -103,4 +103,31 @@ SELECT doc_id::BIGINT AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0):
 FROM d LEFT JOIN kept USING (r)
 """
 
-SQL = {"op11_license_scan": OP11, "op1_topk_search": OP1, "op4_chat_format": OP4, "op5_substring_dedup": OP5, "op10_decontamination": OP10}
+_CRC = "list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda a, b: list_reduce([xor(a, b)] || range(8), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))"
+
+OP13 = rf"""
+WITH t AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT *, conv_id - conv_id % 20 AS first, xor({_CRC}, 4294967295) % 4 AS h FROM t
+), c AS (
+  SELECT h.conv_id, coalesce(b.turns[1 : h.h], []) || h.turns[h.h + 1 :] AS turns FROM h LEFT JOIN t b ON b.conv_id = h.first
+), member AS (
+  SELECT conv_id, turns[1 : d] AS path, d, len(turns) = d AS ends FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM c)
+), node AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM member GROUP BY path, d
+), kids AS (
+  SELECT path[1 : d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+), own AS (
+  SELECT node.path, node.d, kids.n IS NULL AS leaf, CASE WHEN d > 0 THEN (node.n - 1) * len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM node LEFT JOIN kids ON kids.path = node.path
+), sums AS (
+  SELECT path[1 : a] AS path, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY 1
+)
+SELECT node.conv_id::BIGINT AS conv_id, node.d::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, node.n::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+  sums.n_leaves::BIGINT AS n_leaves, sums.saved_tokens::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN sums ON sums.path = node.path LEFT JOIN kids ON kids.path = node.path LEFT JOIN node up ON node.d > 0 AND up.path = node.path[1 : node.d - 1] AND up.d = node.d - 1
+"""
+
+SQL = {"op13_prefix_trie": OP13, "op11_license_scan": OP11, "op1_topk_search": OP1, "op4_chat_format": OP4, "op5_substring_dedup": OP5, "op10_decontamination": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, common, decontaminate, language, license_scan, oracle, pieces, recompress, secret_scan, simhash, token_counts, token_files, topk_search
+from . import chat_format, common, decontaminate, language, license_scan, oracle, pieces, prefix_trie, recompress, secret_scan, simhash, spelling, token_counts, token_files, topk_search
 
 
 def vocabulary(name: str) -> str:
@@ -78,6 +78,14 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted_words(table(spark, sf_dir, "documents")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_token_counts": op2_token_counts,
@@ -90,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_decontamination": op10_decontamination,
     "op11_license_scan": op11_license_scan,
+    "op12_spelling": op12_spelling,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
