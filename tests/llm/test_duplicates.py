@@ -202,6 +202,67 @@ def thue_morse(n, a, b):
     return [b if i.bit_count() % 2 else a for i in range(n)]
 
 
+def planted_pairs(seed, count=100):
+    """Pairs of texts that are 0.8 or more alike: by their end, their length, or a vocabulary of few words."""
+    rng = random.Random(seed)
+
+    def fresh(n, kinds=10**7):
+        return [f"w{rng.randrange(kinds)}" for _ in range(n)]
+
+    for _ in range(count):
+        for long, added in ((300, 55), (100, 18), (40, 7), (20, 3)):
+            t = fresh(long)
+            yield f"{long}+{added}", t, t + fresh(added)
+        line = fresh(10)
+        yield "line", line * 5, line * 5 + fresh(2)
+        t = [f"s{rng.randrange(6)}" for _ in range(300)]
+        yield "few words", t, t + [f"s{rng.randrange(6)}" for _ in range(6)]
+        t = fresh(250)
+        u = list(t)
+        for k in rng.sample(range(250), 5):
+            u[k] = "changed"
+        yield "changed", t, u
+
+
+def test_recall_of_planted_near_copies(spark):
+    kinds, rows = [], []
+    for kind, a, b in planted_pairs(3):
+        kinds.append((kind, similarity(" ".join(a), " ".join(b))))
+        rows += [(2 * len(kinds) - 2, " ".join(a)), (2 * len(kinds) - 1, " ".join(b))]
+    got = {r.doc_id: r.component_id for r in near_copies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind in {k for k, _ in kinds}:
+        near = [i for i, (k, alike) in enumerate(kinds) if k == kind and alike >= 0.8]
+        assert len(near) >= 50 and sum(got[2 * i] == got[2 * i + 1] for i in near) >= 0.99 * len(near), kind
+    assert all(got[2 * i] != got[2 * i + 1] for i, (_, alike) in enumerate(kinds) if alike < 0.8)
+
+
+@pytest.mark.parametrize(("cell", "noise"), [(8, 0.02), (8, 0.035), (1000, 0.035)])
+def test_one_large_family(spark, monkeypatch, cell, noise):
+    """Copies of one text with random changes, in cells far smaller than their bucket, against all pairs."""
+    monkeypatch.setattr(near_copies, "CELL", cell)
+    rng = random.Random(9)
+    origin = ["o%d" % i for i in range(120)]
+    rows = [(i, " ".join(f"x{rng.randrange(10**6)}" if rng.random() < noise else w for w in origin)) for i in range(150)]
+    rows += [(1000 + i, " ".join(f"y{rng.randrange(10**6)}" for _ in range(50))) for i in range(20)]
+    sets = Sets([i for i, _ in rows])
+    for k, (a, x) in enumerate(rows):
+        for b, y in rows[:k]:
+            if similarity(x, y) >= 0.8:
+                low, high = sorted((sets.top(a), sets.top(b)))
+                sets.up[high] = low
+    got = {r.doc_id: r.component_id for r in near_copies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: sets.top(i) for i, _ in rows}
+
+
+def test_rows_of_one_id(spark):
+    """A text whose id another text has as well goes or stays by itself; repeated rows stay together."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b + " end"), (8, c), (8, c), (9, None), (9, ""), (4, " ")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component_id string")
+    stay = sorted(((r.doc_id, r.text) for r in near_copies.without_copies(df).collect()), key=repr)
+    assert stay == sorted([(1, a), (5, b), (5, b), (8, c), (8, c), (4, " ")], key=repr)
+
+
 @pytest.fixture(scope="module")
 def structured(spark):
     """Texts that differ only in the arrangement of two letters within a word, or of two words."""

@@ -1,25 +1,25 @@
-"""Near-copies of whole texts: SimHash tables find candidates, shingle sets verify them.
-
-The ball hashing of ``simhash`` finds fingerprints within two bits. Near-copies in the sense of
-shingle similarity (0.8 or more of the five-word shingles in common) differ in more bits of one
-64-bit fingerprint, and larger balls would need thousands of variants for each text. So several
-shorter fingerprints are used: each text's distinct words give ``TABLES`` fingerprints of ``BITS``
-bits with independent bits, and each of these emits itself and its one-bit variants into its own
-table. A pair of near-copies is within two bits in most tables, and unrelated pairs in almost none.
-
-Candidates further apart than FAR of all TABLES * BITS bits are chance meetings and go; two texts with 80 % of their shingles in common are
-that far apart with a probability of under one in ten thousand even if a third of their distinct words differ. All others are verified by their exact shingle
-sets, and every text between which a verified link exists joins one component.
-
-Exact copies (equal words, by digest) are merged before; groups around a variant are kept as bit maps of
-at most BITS + 1 fingerprints. A first pass compares texts with the first text of their fingerprint, and those
-with the first of their group and the next one. Where that leaves a group of up to LISTED texts in more than one component, all its pairs between components are compared.
-The texts of larger such groups go through an exact join of their shingle sets: a set's shingles are ranked, rare ones first, and two sets of the
-wanted similarity share a shingle that both rank so early that enough can still follow it in both (the prefix and position filters of set-similarity
-joins). Texts that share such a shingle are compared first with the most typical text of its group, the one whose shingles are most frequent, and then, where the
-group still has several components, those outside its largest one with the others. In a family of copies of one text, the first step
-compares each with something near that text, and the filters leave next to nothing for the second, so that pairs
-grow with the number of texts. No group is gathered.
+"""Near-copies of whole texts: SimHash balls and MinHash bands find candidates, shingle sets verify them.
+
+Two texts are near-copies if ``similarity`` (0.8) of their distinct word shingles (five words; the whole text if it has fewer) are common to both.
+The balls of ``simhash`` join texts with fingerprints within two of 64 bits: nearly equal texts, but only part of the near-copies, which differ in 3 to 11 bits
+and in more if they are short. So the distinct shingles also give BANDS * ROWS minima under independent hash functions, and texts meet
+where a band of ROWS minima is equal. At similarity 0.8 that fails in all bands with a probability of (1 - 0.8 ** ROWS) ** BANDS, below one in
+ten thousand, whatever the length or vocabulary of the texts; above 0.8 it is less. Every link is verified by the exact sets.
+
+Exact copies (equal words, by digest) are merged before. Texts that meet in one place form a bucket:
+
+- all pairs of buckets of up to LISTED texts are verified;
+- of larger ones each text takes part in its largest bucket first. The bucket is dealt into cells of about CELL texts; a cell compares its texts, the most
+  alike by their minima first, and only those that its links haven't joined yet. The most typical text of each cell goes on to
+  the next level, until a bucket has one cell;
+- where a bucket still has texts of several components, those outside its largest component are compared with all others, cell by cell.
+
+Within a cell, pairs whose minima agree in under ROUGH of all places are passed over (five standard deviations below 0.8: fewer than one in a million of
+the pairs at 0.8). No cell is larger than about CELL texts or CELL_SHINGLES shingles (or one text), and no pair is left out for the size of its bucket.
+
+Null text counts as empty. Texts without words are copies of one another. Rows with equal ids but different words are texts of their own; rows without
+an id are in no group and stay. Of a group the least id stays, with all rows of that id and these words; other columns pass unchanged. A text is one row, however long.
+An empty table has no groups.
 """
 
 from __future__ import annotations
@@ -28,258 +28,285 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, components, simhash, words
 
-BITS, TABLES, FAR = 32, 6, 60
-#: all pairs between components are compared in groups of up to this many texts
-LISTED = BITS
-#: each holds the bits of two tables
-SALTS = (0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
-SIGNS = tuple(f"s{i}" for i in range(1, TABLES // 2 + 1))
+ROWS, BANDS = 5, 24
+LISTED, CELL, CELL_SHINGLES = 8, 256, 2_000_000
+ROUGH = 0.62
+#: for each minimum an odd multiplier and a mask, from a fixed rule
+_RULE = words.mixed(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_MASKS, _STEPS = (_RULE[: ROWS * BANDS] >> np.uint64(32)).astype(np.uint32), (_RULE[ROWS * BANDS :] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def signatures(strings: pa.LargeStringArray) -> tuple[np.ndarray, ...]:
-    """(d1, d2, signs, n): digest of the words in lower case, signature bits of the distinct words, number of words."""
+def text_shingles(strings: pa.LargeStringArray, shingle: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(hashes, bounds, digests): fingerprints of all texts' word shingles, repeats included, the n + 1 bounds of the texts in them, and the
+    two halves of the digests of each text's words in lower case."""
     raw, offsets = common.byte_view(strings)
     raw = simhash._FOLD[raw]
     starts, lens, bounds = words.byte_words(raw, offsets)
-    n = np.diff(bounds)
     (h,) = words.word_hashes(raw, starts, lens)
     digests = words.sequence_digests(raw, starts, lens, bounds[:-1], bounds[1:])
+    n = np.diff(bounds)
+    count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
+    first = common.ragged_take(np.arange(len(h)), bounds[:-1], count)
+    last = np.minimum(first + shingle, np.repeat(bounds[1:], count))
+    return words.range_hashes(h, first, last), np.r_[0, np.cumsum(count)].astype(np.int64), digests
+
+
+def minima(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The least value of each text's shingles under each hash function; a row of the largest number for texts without shingles."""
+    out = np.full((len(bounds) - 1, ROWS * BANDS), 0xFFFFFFFF, np.uint32)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        x, at = (hashes >> np.uint64(32)).astype(np.uint32) ^ hashes.astype(np.uint32), bounds[full]
+        for k in range(ROWS * BANDS):
+            out[full, k] = np.minimum.reduceat((x ^ _MASKS[k]) * _STEPS[k], at)
+    return out
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each text and band."""
+    parts = least.reshape(len(least), BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2])
+    for k in range(ROWS):
+        key = words.joined(key, parts[:, :, k])
+    return key.view(np.int64)
+
+
+def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The SimHash fingerprint of each text's shingles."""
+    n = np.diff(bounds)
     owner = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((h, owner))
-    a, b = owner[order], h[order]
-    keep = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
-    a, b = a[keep], b[keep]
-    size = np.bincount(a, minlength=len(n))
-    bound = np.r_[0, np.cumsum(size)]
-    sign = []
-    for salt in SALTS:
-        octets = words.mixed(b ^ np.uint64(salt)).astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64)
-        out = np.zeros(len(n), np.uint64)
-        for x in range(0, len(n), 256):
-            y = min(x + 256, len(n))
-            part = octets[bound[x] : bound[y]] + np.arange(8) * 256 + ((a[bound[x] : bound[y]] - x) * 2048)[:, None]
-            seen = np.bincount(part.ravel(), minlength=(y - x) * 2048).reshape(y - x, 8, 256)
-            major = (seen @ simhash._BITS).reshape(y - x, 64) * 2 > size[x:y, None]
-            out[x:y] = np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
-        sign.append(out.view(np.int64))
-    return *digests, *sign, n
-
-
-def _signed(docs: DataFrame) -> DataFrame:
+    octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
+    prints = np.zeros(len(n), np.uint64)
+    for a in range(0, len(n), 256):
+        b = min(a + 256, len(n))
+        part = octets[bounds[a] : bounds[b]].astype(np.int64) + np.arange(8) * 256 + ((owner[bounds[a] : bounds[b]] - a) * 2048)[:, None]
+        seen = np.bincount(part.ravel(), minlength=(b - a) * 2048).reshape(b - a, 8, 256)
+        prints[a:b] = np.packbits((seen @ simhash._BITS).reshape(b - a, 64) * 2 > n[a:b, None], axis=1, bitorder="little").view("<u8").ravel()
+    return prints.view(np.int64)
+
+
+def text_mark() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _signed(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, mark, d1, d2, n, fp, keys): hash of the text, digest of its words, number of shingles, fingerprint and band keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             strings = common.plain_strings(batch.column("text"))
             for a, b in common.text_slices(strings):
-                parts = [pa.array(x) for x in signatures(strings.slice(a, b - a))]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), *parts], ["doc_id", "d1", "d2", *SIGNS, "n"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return common.spread(rows).mapInArrow(run, "doc_id long, d1 long, d2 long, " + "".join(f"{s} long, " for s in SIGNS) + "n long")
-
-
-def _tabled(heads: DataFrame) -> DataFrame:
-    """(doc_id, fp): each text's fingerprints, with the table's number above the bits."""
-    mask = (1 << BITS) - 1
-    prints = [F.col(s).bitwiseAND(mask) if not high else F.shiftrightunsigned(s, BITS) for s in SIGNS for high in (0, 1)]
-    tabled = F.array(*[F.lit(t << BITS).bitwiseOR(p) for t, p in enumerate(prints)])
-    return heads.select("doc_id", F.explode(tabled).alias("fp"))
-
-
-def balls(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two written tables: (fp, first, n), each fingerprint's least id and number of ids, and (variant, ids, n), the groups of
-    two or more fingerprints within one bit of a variant: ``ids`` has at most BITS + 1 pairs (first, fp), n is the number of texts."""
-    first = common.written(_tabled(heads).groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "prints")
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(BITS)])
-    variants = first.repartition(int(first.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp").select("fp", F.explode(flips).alias("flip"))
-    groups = variants.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("variant")).agg(F.bit_or("flip").alias("flips"), F.max(F.col("flip") == 0).alias("own"))
-    groups = groups.filter(F.bit_count("flips") + F.col("own").cast("int") > 1)
-    each = F.filter(F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)), lambda f: f.bitwiseAND(F.col("flips")) != 0)
-    members = F.concat(F.when(F.col("own"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<bigint>")), each)
-    member = groups.select("variant", F.explode(members).alias("flip")).select("variant", F.col("variant").bitwiseXOR(F.col("flip")).alias("fp"))
-    # at most BITS + 1 fingerprints meet here
-    ids = member.join(first, "fp").groupBy("variant").agg(F.array_sort(F.collect_set(F.struct("first", "fp"))).alias("ids"), F.sum("n").alias("n"))
-    return first, common.written(ids, "balls")
-
-
-def star_links(heads: DataFrame, first: DataFrame, ball: DataFrame) -> DataFrame:
-    """(a, b): the first pass's pairs of ids, a < b. Each fingerprint's texts are linked to the first of them, and the
-    first texts of the fingerprints around a variant to the least and to the next one."""
-    same = _tabled(heads).join(first.filter("n > 1"), "fp").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    ids = ball.select(F.col("ids.first").alias("ids"))
-    pairs = F.transform(F.slice("ids", 2, BITS + 1), lambda x, i: F.struct(F.element_at("ids", 1).alias("a"), F.element_at("ids", i + 1).alias("c"), x.alias("b")))
-    links = ids.select(F.explode(pairs).alias("p")).select(F.explode(F.array(F.struct("p.a", "p.b"), F.struct(F.col("p.c").alias("a"), "p.b"))).alias("q")).select("q.a", "q.b")
-    links = links.union(same).filter("a <> b")
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def ball_members(heads: DataFrame, first: DataFrame, ball: DataFrame) -> DataFrame:
-    """(key, doc_id): all texts of each group that holds three or more of them; the pairs of smaller groups are in the first pass."""
-    around = ball.filter("n > 2").select(F.col("variant").alias("key"), F.explode("ids.fp").alias("fp"))
-    equal = first.filter("n > 2").select(F.col("fp").alias("key"), "fp")
-    return _tabled(heads).join(around.union(equal).distinct(), "fp").select("key", "doc_id")
-
-
-def still_open(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members (key, doc_id, and more) of groups in more than one component so far, with their ``component`` and the group's number ``n``."""
-    known = members.join(classes, F.col("doc_id") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "doc_id").alias("component"))
-    known = common.written(known, "members")
-    mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    return known.join(mixed.select("key", "n"), "key")
+                hashes, bounds, (d1, d2) = text_shingles(strings.slice(a, b - a), shingle)
+                keys = band_keys(minima(hashes, bounds))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
+                columns = [pa.array(d1), pa.array(d2), pa.array(np.diff(bounds)), pa.array(majority(hashes, bounds)), listed]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "mark")), *columns], ["doc_id", "mark", "d1", "d2", "n", "fp", "keys"])
 
+    return common.spread(docs.withColumn("mark", text_mark())).mapInArrow(run, "doc_id long, mark long, d1 long, d2 long, n long, fp long, keys array<long>")
 
-def _near() -> Column:
-    """Whether the signatures of ``l`` and ``r`` are no further apart than FAR bits."""
-    far = [F.bit_count(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}"))) for s in SIGNS]
-    return sum(far[1:], far[0]) <= FAR
 
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, d1, d2, h, sketch): each text's distinct shingles in order, and a byte of each of its minima."""
 
-def listed_pairs(members: DataFrame, sign: DataFrame) -> DataFrame:
-    """(a, b): the near pairs between components of small groups."""
-    signed = common.written(members.select("key", "doc_id", "component").join(sign.select("doc_id", *SIGNS), "doc_id"), "listed")
-    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.doc_id") < F.col("r.doc_id")) & (F.col("l.component") != F.col("r.component"))
-    met = signed.alias("l").join(signed.alias("r"), apart & _near())
-    return met.select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = common.plain_strings(batch.column("text"))
+            for a, b in common.text_slices(strings):
+                hashes, bounds, (d1, d2) = text_shingles(strings.slice(a, b - a), shingle)
+                sketch = minima(hashes, bounds).astype(np.uint8)
+                own = [np.unique(hashes[x:y]).view(np.int64) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                columns = [pa.array(d1), pa.array(d2), pa.array(own, pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), *columns], ["doc_id", "d1", "d2", "h", "sketch"])
 
+    return docs.mapInArrow(run, "doc_id long, d1 long, d2 long, h array<long>, sketch binary")
 
-def rare_shingles(sets: DataFrame, similarity: float) -> DataFrame:
-    """(key, doc_id, size, rank, typical): of each set the shingles by which it can meet a set of at least this similarity.
 
-    Two such sets have ``similarity`` of the larger one in common, so of any order of all shingles, the first
-    1 - ``similarity`` of each and one more can't be disjoint. Rare shingles come first, so what a whole family of texts
-    has in common makes no group. Shingles of one set only are ranked first by their number, not kept. ``typical`` is the mean
-    number of sets that hold a shingle of this set.
-    """
-    rows = sets.select("doc_id", F.size("h").alias("size"), F.explode("h").alias("key"))
-    shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
-    each = Window.partitionBy("doc_id")
-    alone = F.col("size") - F.count("*").over(each)
-    ranked = shared.select("key", "doc_id", "size", (F.row_number().over(each.orderBy("n", "key")) + alone).alias("rank"), ((F.sum("n").over(each) + alone) / F.col("size")).alias("typical"))
-    prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-6) + 1
-    return ranked.filter(F.col("rank") <= prefix)
+def similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have at least this share of their union in common."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= similarity * (len(x) + len(y) - shared) - 1e-9
 
 
-def _can_meet(similarity: float) -> Column:
-    """Whether sets ``l`` and ``r`` may be similar enough if this shingle is the first that they share: no more can be common than
-    what follows it in both."""
-    most = F.least(F.col("l.size") - F.col("l.rank"), F.col("r.size") - F.col("r.rank")) + 1
-    return (F.col("l.component") != F.col("r.component")) & (most >= similarity * (F.col("l.size") + F.col("r.size") - most) - 1e-6)
+class Cell:
+    """Texts of a bucket that are compared in one task."""
 
+    def __init__(self, table: pa.Table):
+        self.node = table.column("node").to_numpy()
+        sets = table.column("h").combine_chunks()
+        at, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+        self.sets = [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        self.sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, ROWS * BANDS)
 
-def typical_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the most typical text of each group with the others that it may be similar to."""
-    best = members.groupBy("key").agg(F.max_by(F.struct("doc_id", "size", "rank", "component"), F.struct("typical", "doc_id")).alias("x")).select("key", "x.*")
-    return _pairs(best, members, similarity)
+    def alike(self, other: Cell) -> np.ndarray:
+        """Share of equal minima of all pairs."""
+        out = np.zeros((len(self.node), len(other.node)), np.float32)
+        for k in range(ROWS * BANDS):
+            out += self.sketch[:, k, None] == other.sketch[None, :, k]
+        return out / (ROWS * BANDS)
 
 
-def other_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the texts outside the largest component of each group with all others that they may be similar to."""
-    sizes = members.groupBy("key", "component").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
-    outside = members.join(largest, "key").filter("component <> largest")
-    return _pairs(outside, members, similarity)
+def links_between(left: Cell, right: Cell, alike: np.ndarray, of_left: list[int], of_right: list[int], similarity: float) -> list[tuple[int, int]]:
+    """Verified links of texts whose components (numbers) aren't joined yet, the most alike first."""
+    up: dict[int, int] = {}
 
+    def root(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
 
-def _pairs(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
-    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & _can_meet(similarity))
-    return met.select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b")).distinct()
+    i, j = np.nonzero(alike >= ROUGH)
+    order = np.argsort(-alike[i, j], kind="stable")
+    found = []
+    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        x, y = root(of_left[a]), root(of_right[b])
+        if x != y and similar(left.sets[a], right.sets[b], similarity):
+            up[max(x, y)] = min(x, y)
+            found.append((int(left.node[a]), int(right.node[b])))
+    return found
 
 
-def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, d1, h): digest, and fingerprints of each text's distinct word shingles, in order; the whole text if it is shorter."""
+LINKS = "a long, b long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            strings = common.plain_strings(batch.column("text"))
-            for a, b in common.text_slices(strings):
-                raw, offsets = common.byte_view(strings.slice(a, b - a))
-                raw = simhash._FOLD[raw]
-                starts, lens, bounds = words.byte_words(raw, offsets)
-                (h,) = words.word_hashes(raw, starts, lens)
-                d1, _ = words.sequence_digests(raw, starts, lens, bounds[:-1], bounds[1:])
-                out = [np.unique(words.window_hashes(h[x:y], min(shingle, y - x)) if y > x else h[:0]).view(np.int64) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(d1), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "d1", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, d1 long, h array<long>")
+def _link_table(found: list[tuple[int, int]], **more: list) -> pa.Table:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), **more})
 
 
 def groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """(doc_id, component_id) of all rows: component_id is the least id that copies and verified links reach.
-
-    Null text counts as empty. Texts without words are copies of one another. Rows without an id are
-    left out. Rows with equal ids but different words are compared by way of the row with the least digest.
-    """
-    signed = common.written(_signed(docs.filter("doc_id IS NOT NULL")), "signatures")
-    heads = signed.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), *[F.first(s).alias(s) for s in SIGNS], F.max("n").alias("n"))
-    heads = common.written(heads, "heads")
-    sign = heads.groupBy("doc_id").agg(F.min(F.struct("d1", *SIGNS, "n")).alias("x")).select("doc_id", "x.*").filter("n > 0")
+    """(doc_id, mark, component_id) of all rows with an id: component_id is the least id that copies and verified links reach; ``mark`` tells
+    texts of one id apart."""
+    docs = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    signed = common.written(_signed(docs, shingle), "signatures")
+    heads = signed.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    heads = common.written(heads.select(F.monotonically_increasing_id().alias("node"), "*"), "heads")
     repeated = not signed.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        """One shingle set for each wanted id."""
-        found = _shingles(texts.join(common.small(wanted), "doc_id", "left_semi"), shingle)
-        if repeated:  # of the rows of an id the one that stands for it
-            found = found.join(sign.select("doc_id", "d1"), ["doc_id", "d1"], "left_semi").dropDuplicates(["doc_id"])
-        return common.written(found.select("doc_id", "h"), "shingles")
+    classes = components.components(_all_links(heads, docs, repeated, similarity, shingle))
+    joined = heads.select("node", "d1", "d2", "doc_id").join(classes, "node", "left").select("d1", "d2", "doc_id", F.coalesce("component", "node").alias("component"))
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    member = joined.select("d1", "d2", "component").join(least, "component").select("d1", "d2", "component_id")
+    return signed.select("doc_id", "mark", "d1", "d2").join(member, ["d1", "d2"]).select("doc_id", "mark", "component_id")
+
+
+def _all_links(heads: DataFrame, docs: DataFrame, repeated: bool, similarity: float, shingle: int) -> DataFrame:
+    full = heads.filter("n > 0")
+    prints = full.groupBy("fp").agg(F.min("node").alias("node"))
+    near = simhash.ball_links(prints.select("fp"))
+    near = near.join(prints.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
+    near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # equal fingerprints are a bucket as well; several bands often have the same texts in a bucket, and one of these is enough
+    met = full.select("node", "n", F.explode(F.concat("keys", F.array(F.xxhash64("fp")))).alias("key"))
+    size = met.groupBy("key").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"), F.expr("bit_xor(xxhash64(node))").alias("mark"), F.min("node").alias("least")).filter("texts > 1")
+    size = size.groupBy("texts", "mark", "least").agg(F.min("key").alias("key"), F.max("shingles").alias("shingles")).select("key", "texts", "shingles")
+    buckets = common.written(met.select("key", "node").join(size, "key"), "buckets")
+    listed = buckets.filter(F.col("texts") <= LISTED).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))  # LISTED at most
+    later = F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, LISTED), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    pairs = listed.select(F.explode(F.flatten(later)).alias("p")).select("p.a", "p.b")
+    pairs = common.written(pairs.union(near).filter("a <> b").distinct(), "pairs")
+    large = buckets.filter(F.col("texts") > LISTED)
+
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
+    wanted = common.written(wanted.join(heads.select("node", "doc_id", "d1", "d2"), "node"), "wanted")
+    texts = docs.join(common.small(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    # a text of an id and a digest counts once, however often it is there
+    sets = _sets(texts, shingle).join(wanted, ["doc_id", "d1", "d2"]).select("node", "h", "sketch")
+    sets = common.written(sets.dropDuplicates(["node"]) if repeated else sets, "shingles")
+
+    links = common.written(_verified(pairs, sets, similarity), "links")
+    common.drop(pairs, wanted)
+    if not large.isEmpty():
+        links = links.union(_clustered(large, sets, similarity))
+        links = common.written(links.union(_between(large, sets, components.components(links), similarity)), "links")
+    common.drop(buckets, sets)
+    return links
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (np.asarray(batch.column(c)[i].values) for c in ("x", "y"))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = shared >= similarity * (len(x) + len(y) - shared)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
-
-    def settled(classes: DataFrame | None, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-        """The components after the pairs that are similar enough are linked as well."""
-        pairs, own = common.written(pairs, "close"), sets
-        if classes is not None and pairs.isEmpty():
-            common.drop(pairs)
-            return classes
-        if own is None:
-            wanted = common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-            own = sets_of(wanted)
-            common.drop(wanted)
-        both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("h").alias("x")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("h").alias("y")), "b")
-        # a bound on the similarity of two sets
-        both = both.filter(F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y")))
-        links = both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
-        if classes is not None:
-            links = links.union(classes.select("node", "component"))
-        with common.arrow_batches(docs.sparkSession, 500):  # a row holds two whole shingle sets
-            found = components.components(links)
-        common.drop(pairs, *([] if sets is not None else [own]))
-        return found
-
-    first, ball = balls(sign)
-    stars = star_links(sign, first, ball).join(sign.alias("l"), F.col("a") == F.col("l.doc_id")).join(sign.alias("r"), F.col("b") == F.col("r.doc_id"))
-    classes = settled(None, stars.filter(_near()).select("a", "b"))
-    # a link that was not verified says nothing about the others of its group
-    rest = common.written(still_open(ball_members(sign, first, ball), classes), "open")
-    common.drop(first, ball)
-    classes = settled(classes, listed_pairs(rest.filter(F.col("n") <= LISTED), sign))
-    wanted = common.written(rest.filter(F.col("n") > LISTED).select("doc_id").distinct(), "wanted")
-    common.drop(rest)
-    if not wanted.isEmpty():
-        sets = sets_of(wanted)
-        rare = common.written(rare_shingles(sets, similarity), "rare")
-        classes = settled(classes, typical_pairs(still_open(rare, classes), similarity), sets)
-        classes = settled(classes, other_pairs(still_open(rare, classes), similarity), sets)
-        common.drop(rare, sets)
-    common.drop(wanted)
-    member = heads.select("d1", "d2", F.col("doc_id").alias("head")).join(classes, F.col("head") == F.col("node"), "left")
-    member = member.select("d1", "d2", F.coalesce("component", "head").alias("component_id"))
-    return signed.join(member, ["d1", "d2"]).select("doc_id", "component_id")
+            ok = [similar(*(np.asarray(batch.column(c)[i].values) for c in ("x", "y")), similarity) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
+
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("h").alias("x")), "a").filter(F.size("x") > 0)
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("h").alias("y")), "b")
+    both = both.filter(F.least(F.size("x"), F.size("y")) >= similarity * F.greatest(F.size("x"), F.size("y")) - 1e-9)
+    return both.select("a", "b", "x", "y").mapInArrow(verify, LINKS)
+
+
+def _cells(texts: str, shingles: str) -> Column:
+    return F.greatest(F.ceil(F.col(texts) / CELL), F.ceil(F.col(shingles) / CELL_SHINGLES), F.lit(1)).cast("int")
+
+
+def _clustered(large: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links within the cells of each text's largest bucket, and of the cells' typical texts level by level."""
+
+    def cluster(table: pa.Table) -> pa.Table:
+        cell = Cell(table)
+        alike = cell.alike(cell)
+        typical = int(cell.node[int(alike.sum(axis=1).argmax())])
+        own = list(range(len(cell.node)))
+        alike[np.tril_indices(len(own))] = 0
+        found = links_between(cell, cell, alike, own, own, similarity)
+        key = table.column("key")[0].as_py()
+        out = _link_table([*found, (typical, typical)])
+        return out.append_column("key", pa.array([key] * out.num_rows, pa.int64()))
+
+    rows = large.groupBy("node").agg(F.max_by(F.struct("key", "shingles"), F.struct("texts", "key")).alias("x")).select("node", "x.key", "x.shingles")
+    links, level = None, 0
+    while True:
+        # of the texts that are here, which may be fewer than the bucket's
+        sizes = rows.groupBy("key").agg(F.count("*").alias("texts"), F.max("shingles").alias("shingles"))
+        dealt = rows.drop("shingles").join(sizes, "key").withColumn("cells", _cells("texts", "shingles"))
+        dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("node", F.lit(level)), F.col("cells")))
+        found = dealt.join(sets, "node").groupBy("key", "cell").applyInArrow(cluster, f"{LINKS}, key long")
+        found = common.written(found, "cells")
+        links = found.filter("a <> b").select("a", "b") if links is None else links.union(found.filter("a <> b").select("a", "b"))
+        typical = found.filter("a = b").select(F.col("a").alias("node"), "key")
+        more = typical.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        if more.isEmpty():
+            return links
+        rows, level = typical.join(more.select("key"), "key").withColumn("shingles", F.lit(0).cast("long")), level + 1
+
+
+def _between(large: DataFrame, sets: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Links between the components of each bucket: the texts outside its largest one with all others."""
+    known = large.join(classes, "node", "left").select("key", "node", "texts", "shingles", F.coalesce("component", "node").alias("component"))
+    known = common.written(known, "members")
+    count = known.groupBy("key", "component").agg(F.count("*").alias("k"), F.first("texts").alias("texts"), F.first("shingles").alias("shingles"))
+    mixed = count.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.max("k").alias("k"), F.first("texts").alias("texts"), F.first("shingles").alias("shingles")).filter("k < texts")
+    mixed = mixed.select("key", "largest", _cells("texts", "shingles").alias("cols"), F.greatest(F.ceil((F.col("texts") - F.col("k")) / F.col("texts") * _cells("texts", "shingles")), F.lit(1)).cast("int").alias("rows"))
+    rest = known.select("key", "node", "component").join(mixed, "key")
+
+    def dealt(frame: DataFrame, own: str, other: str, salt: int) -> DataFrame:
+        each = frame.withColumn(f"at_{own}", F.pmod(F.xxhash64("node", F.lit(salt)), F.col(own)).cast("int"))
+        each = each.select("key", "node", "component", f"at_{own}", F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"at_{other}"))
+        found = each.join(sets, "node")
+        return found.select(*[F.col(c).alias(c) for c in found.columns])  # both sides come from one table
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _link_table([])
+        x, y = Cell(left), Cell(right)
+        return _link_table(links_between(x, y, x.alike(y), left.column("component").to_pylist(), right.column("component").to_pylist(), similarity))
+
+    outside = dealt(rest.filter("component <> largest"), "rows", "cols", 11)
+    every = dealt(rest.drop("largest"), "cols", "rows", 12)
+    return outside.groupBy("key", "at_rows", "at_cols").cogroup(every.groupBy("key", "at_rows", "at_cols")).applyInArrow(compare, LINKS)
 
 
 def without_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay: of each component those with its least id, and rows without an id."""
-    gone = groups(docs, similarity, shingle).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = groups(docs, similarity, shingle).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
     gone = common.small(common.written(gone, "gone"))
-    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.gone_id"), "left_anti")
+    same = (F.col("d.doc_id").cast("long") == F.col("g.gone_id")) & (F.xxhash64(F.col("d.text").cast("string")) == F.col("g.gone_mark"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti")

@@ -120,7 +120,7 @@ WITH t AS (
 ), kids AS (
   SELECT path[1 : d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
 ), own AS (
-  SELECT node.path, node.d, kids.n IS NULL AS leaf, CASE WHEN d > 0 THEN (node.n - 1) * len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  SELECT node.path, node.d, kids.n IS NULL AS leaf, CASE WHEN node.d > 0 THEN (node.n - 1) * len(regexp_extract_all(node.path[node.d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
   FROM node LEFT JOIN kids ON kids.path = node.path
 ), sums AS (
   SELECT path[1 : a] AS path, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY 1
