@@ -272,9 +272,32 @@ def test_top_k_against_brute_force(spark, monkeypatch, k, n, hot):
     monkeypatch.setattr(topk_search, "QUERY_GROUP", 8)
     odd = [(-1, None), (-2, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (-3, [float("nan")] * 6), (-4, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (0, rows[0])]
     df = spark.createDataFrame([*rows.items(), *odd], "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
-    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows.items()}
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in [*rows.items(), (0, rows[0])]]  # the second row 0 is a candidate of the first
     got = topk_search.top_k(df, F.col("vec_id") % 20 == 0, k).collect()
-    assert sorted(map(tuple, got)) == sorted(brute_top(whole, [i for i in whole if i % 20 == 0], k))
+    assert sorted(map(tuple, got)) == sorted(all_top(whole, k))
+
+
+def all_top(rows, k=20):
+    """Of rows (vec_id, whole-number vector): each query row's best other rows of its length."""
+    for at, (query, q) in enumerate(rows):
+        if query % 20 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(q, v, strict=True)), i) for j, (i, v) in enumerate(rows) if j != at and len(v) == len(q))
+            yield from ((query, rank, i, -score) for rank, (score, i) in enumerate(scores[:k], 1))
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, [1, 2]), (7, [1, 2, 3])],  # no queries
+        [(0, [1, 2]), (1, [1, 0.5]), (7, [1, 2, 3])],  # a length that no query has
+        [(0, [1, 2]), (20, [1, 2, 3]), (7, [5])],  # queries without candidates
+        [(0, [1, 2]), (0, [3, 4]), (0, [1, 2]), (20, []), (40, []), (5, [1, 1]), (5, [1, 1])],
+    ],
+)
+def test_top_k_of_odd_rows(spark, rows):
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    assert sorted(map(tuple, topk_search.top_k(df, F.col("vec_id") % 20 == 0).collect())) == sorted(all_top(whole))
 
 
 @pytest.mark.parametrize("scale", [1e9, 3e13, 1e17])

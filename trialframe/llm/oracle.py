@@ -7,16 +7,15 @@ from .license_scan import LOWER, TEMPLATES, UPPER, Template
 
 OP1 = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e)
   WHERE q.vec_id % 20 = 0
 )
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """
 

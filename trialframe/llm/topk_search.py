@@ -11,8 +11,10 @@ single scores. The last round keeps scores above the kth value and, of those equ
 smallest ids, as many as are still needed from any cell.
 
 Components become floor(64 * x). Vectors that are null, or hold a null, a value that is not finite or one that makes
-no 64-bit component, and rows without an id take no part; of rows with equal ids the least vector counts;
-vectors of different lengths have no score. Scores are exact; one beyond 2**63 - 1 either way counts as that number.
+no 64-bit component, and rows without an id take no part. Rows are told apart by a number of their own: of rows with equal ids each is a query
+(if its id is) and a candidate of all others. Vectors of different lengths have no score, so a query of a length that no
+other row has, like every query of an empty table, gives no rows; without queries there are none at all. Other columns don't matter. Scores are exact; one beyond
+2**63 - 1 either way counts as that number.
 """
 
 from __future__ import annotations
@@ -32,12 +34,12 @@ MOST, WIDE = 2**63 - 1, "decimal(20,0)"
 
 
 def int_vectors(rows: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v): whole-number vectors of the rows that take part."""
+    """(row, vec_id, v): whole-number vectors of the rows that take part, numbered."""
     x = F.col("embedding")
     whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * scale) < float(2**63)))
     v = F.transform(x, lambda c: F.floor(c.cast("double") * scale))
     rows = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & whole)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<long>").alias("v"))
 
 
 def _matrix(table: pa.Table, column: str = "v") -> np.ndarray:
@@ -79,7 +81,7 @@ def _wide_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 def _active(left: pa.Table, right: pa.Table, k: int):
     """For slices of queries: (slice, scores, which are in the query's interval, best-k mask of them)."""
     q, c = _matrix(left), _matrix(right)
-    qid, cid = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
+    qid, cid = left.column("row").to_numpy(), right.column("row").to_numpy()
     low, high = left.column("low").to_numpy(), left.column("high").to_numpy()
     step = max(1, 2_000_000 // max(1, len(cid)))
     for a in range(0, len(qid), step):
@@ -96,31 +98,37 @@ def _active(left: pa.Table, right: pa.Table, k: int):
 
 def _cells(queries: DataFrame, candidates: DataFrame, a: int, b: int):
     def group(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     def all_of(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     left = queries.withColumn("dim", F.size("v")).withColumn("a", group(a)).withColumn("b", all_of(b))
-    candidates = candidates.select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"))  # both sides may come from one table
+    candidates = candidates.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "v")])  # both sides may come from one table
     right = candidates.withColumn("dim", F.size("v")).withColumn("b", group(b)).withColumn("a", all_of(a))
     return left.groupBy("dim", "a", "b").cogroup(right.groupBy("dim", "a", "b"))
 
 
+def _whole(columns: list[list[np.ndarray]], names: list[str]) -> pa.Table:
+    return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in columns], names)
+
+
 def _histogram(k: int, width: int):
     """Counts of the cell's scores by bin of ``width`` within each query's interval."""
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, bins, counts = [], [], []
+        if not (left.num_rows and right.num_rows):  # no vectors of this length on one side
+            return _whole([[], [], []], ["row", "bin", "n"])
         low = left.column("low").to_numpy()
         for part, s, mine in _active(left, right, k):
             row, col = np.nonzero(mine)
             above = s[row, col].astype(np.uint64) - low[part][row].astype(np.uint64)  # may take all 64 bits
             key, n = np.unique(row * BINS + (above // np.uint64(width)).astype(np.int64), return_counts=True)
-            ids.append(left.column("vec_id").to_numpy()[part][key // BINS])
+            ids.append(left.column("row").to_numpy()[part][key // BINS])
             bins.append(key % BINS)
             counts.append(n)
-        return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (ids, bins, counts)], ["vec_id", "bin", "n"])
+        return _whole([ids, bins, counts], ["row", "bin", "n"])
 
     return count
 
@@ -134,29 +142,31 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     bound = min(MOST, int((largest or 0) * (1 + 1e-9)) + 1)  # no score is above the greatest square
     queries = vectors.filter(is_query)
     # each query's kth value is in [low, high]; need: which one of those in there
-    state = queries.select("vec_id", F.lit(-bound).cast("long").alias("low"), F.lit(bound).cast("long").alias("high"), F.lit(k).cast("long").alias("need"))
+    state = queries.select("row", F.lit(-bound).cast("long").alias("low"), F.lit(bound).cast("long").alias("high"), F.lit(k).cast("long").alias("need"))
     width, rounds = 2 * bound + 1, 0
     while width > 1:
-        width = -(-width // BINS)
-
-        counts = _cells(queries.join(state, "vec_id"), vectors, a, b).applyInArrow(_histogram(k, width), "vec_id long, bin long, n long")
-        counts = counts.groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
-        down = Window.partitionBy("vec_id").orderBy(F.desc("bin"))
-        counts = counts.withColumn("upto", F.sum("n").over(down)).join(state, "vec_id")
+        width, before = -(-width // BINS), state
+        counts = _cells(queries.join(state, "row"), vectors, a, b).applyInArrow(_histogram(k, width), "row long, bin long, n long")
+        counts = counts.groupBy("row", "bin").agg(F.sum("n").alias("n"))
+        down = Window.partitionBy("row").orderBy(F.desc("bin"))
+        counts = counts.withColumn("upto", F.sum("n").over(down)).join(state, "row")
         hit = counts.filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
         low = F.col("low").cast(WIDE) + F.col("bin").cast(WIDE) * F.lit(width).cast(WIDE)
         high = F.least(F.col("high").cast(WIDE), low + F.lit(width - 1).cast(WIDE))
-        found = hit.select("vec_id", low.cast("long").alias("new_low"), high.cast("long").alias("new_high"), (F.col("need") - F.col("upto") + F.col("n")).alias("new_need"))
+        found = hit.select("row", low.cast("long").alias("new_low"), high.cast("long").alias("new_high"), (F.col("need") - F.col("upto") + F.col("n")).alias("new_need"))
         # queries with fewer than k others keep all of them: their interval stays at its low end
-        state = state.join(found, "vec_id", "left").select("vec_id", F.coalesce("new_low", "low").alias("low"), F.when(F.col("new_low").isNull(), F.col("low")).otherwise(F.col("new_high")).alias("high"), F.coalesce("new_need", "need").alias("need"))
-        before, state = state, common.written(state, "kth")
+        state = state.join(found, "row", "left").select("row", F.coalesce("new_low", "low").alias("low"), F.when(F.col("new_low").isNull(), F.col("low")).otherwise(F.col("new_high")).alias("high"), F.coalesce("new_need", "need").alias("need"))
+        state = common.written(state, "kth")
         if rounds:
             common.drop(before)
         rounds += 1
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
-        kth = left.column("kth").to_numpy()
+        out: list[list[np.ndarray]] = [[], [], [], []]
+        names = ["row", "query_id", "vec_id", "score"]
+        if not (left.num_rows and right.num_rows):
+            return _whole(out, names)
+        kth, own = left.column("kth").to_numpy(), left.column("row").to_numpy()
         cid, qid = right.column("vec_id").to_numpy(), left.column("vec_id").to_numpy()
         order = np.argsort(cid)
         right = right.take(pa.array(order))
@@ -165,11 +175,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             ties = mine & (s == kth[part, None])
             ties &= np.cumsum(ties, axis=1) <= k
             row, col = np.nonzero((mine & (s > kth[part, None])) | ties)
-            for column, values in zip(out, (qid[part][row], cid[col], s[row, col]), strict=True):
+            for column, values in zip(out, (own[part][row], qid[part][row], cid[col], s[row, col]), strict=True):
                 column.append(values)
-        return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out], ["query_id", "vec_id", "score"])
+        return _whole(out, names)
 
-    last = state.select("vec_id", F.col("low").alias("kth"), "low", F.lit(bound).cast("long").alias("high"))
-    best = _cells(queries.join(last, "vec_id"), vectors, a, b).applyInArrow(keep, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    last = state.select("row", F.col("low").alias("kth"), "low", F.lit(bound).cast("long").alias("high"))
+    best = _cells(queries.join(last, "row"), vectors, a, b).applyInArrow(keep, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
