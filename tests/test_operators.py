@@ -124,6 +124,28 @@ def test_fuzzy_agrees_with_difflib(spark):
         assert got.get(name) == ratio, name
 
 
+@pytest.mark.parametrize(("cutoff", "letters"), [(0.85, "abcdefghij "), (0.75, "ab"), (0.6, "abc"), (1.0, "ab")])
+def test_fuzzy_join_loses_no_pair(spark, cutoff, letters):
+    """Names of 1 to 30 letters, many of them alike, against the ratio of all pairs."""
+    import difflib
+    import random
+
+    rng = random.Random(len(letters))
+    known = ["".join(rng.choice(letters) for _ in range(rng.choice((1, 2, 3, 4, 6, 9, 14, 30)))) for _ in range(80)]
+    names = ["", "é", "日本語"]
+    for w in known:
+        for _ in range(2):
+            k = rng.randrange(len(w) + 1)
+            names.append(rng.choice((w[:k] + w[k + 1 :], w[:k] + rng.choice(letters) + w[k:], w[k:] + w[:k], w)))
+    best = {}
+    for name in {x for x in names if x}:
+        found = [(difflib.SequenceMatcher(None, w, name).ratio(), w) for w in set(known)]
+        if max(found)[0] >= cutoff:
+            best[name] = max(found)[::-1]
+    got = vocab.closest(spark.createDataFrame([(n,) for n in [*names, None]], "name string"), spark.createDataFrame([(n,) for n in [*known, *known, None, ""]], "name string"), cutoff)
+    assert {r.name: (r.match, r.ratio) for r in got.collect()} == best
+
+
 def test_nodes(spark):
     leaf = lambda d: {"clinical": {"oncotree_primary_diagnosis": d}}
     trees = {

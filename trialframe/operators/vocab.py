@@ -58,9 +58,8 @@ def resolve(names: DataFrame, vocabulary: DataFrame, name: str = "name", correct
     """``names`` with ``resolved``: the name if the vocabulary has it, else its correction (none: dropped), else
     the closest vocabulary name at ``cutoff`` or more, else null. A leading ``!`` is kept.
 
-    The fuzzy step sees distinct unresolved names only. The ratio 2 m / (a + b) of lengths a and b can't
-    reach the cutoff unless 2 min(a, b) / (a + b) does, and needs that many letters in common; names
-    are joined with the vocabulary on equal lengths within that band, never all with all.
+    The fuzzy step (``closest``) sees distinct unresolved names only and joins them with the vocabulary by pairs of letters, never all with all.
+    The corrections are written by hand and small.
     """
     spark = names.sparkSession
     table = spark.createDataFrame(list((rules.NAME_CORRECTIONS if corrections is None else corrections).items()), "raw string, corrected string")
@@ -77,21 +76,70 @@ def resolve(names: DataFrame, vocabulary: DataFrame, name: str = "name", correct
     return joined.withColumn("resolved", resolved).select(*names.columns, "resolved")
 
 
-def _numbered_letters(name: Column) -> Column:
-    """Each letter with the number of its occurrence, as text: two names have as many of these in common as letters."""
-    letters = F.array_sort(F.filter(F.split(name, ""), lambda x: x != ""))
-    return F.transform(letters, lambda x, i: F.concat(x, (i - F.array_position(letters, x)).cast("string")))
+def letter_pairs(names: DataFrame) -> DataFrame:
+    """(name, gram): every two neighbouring letters of each name (the name itself if it has one), repeats numbered, as fingerprints."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length("name") - 1, F.lit(1))), lambda i: F.substring("name", i, F.lit(2)))
+    found = names.select("name", F.explode(pairs).alias("pair")).groupBy("name", "pair").agg(F.count("*").cast("int").alias("times"))
+    return found.select("name", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("nth"), "pair").select("name", F.xxhash64("pair", "nth").alias("gram"))
+
+
+def _need(letters: Column, cutoff: float) -> Column:
+    """How many pairs of neighbouring letters two names of so many letters together share at least, if their ratio reaches the cutoff.
+
+    The ratio is 2 m / s. The m matched letters stand in blocks, and between two blocks there is one of the s - 2 m unmatched ones, so there are s - 2 m + 1
+    blocks at most, and a block of k letters has k - 1 pairs.
+    """
+    return F.ceil((1.5 * cutoff - 1) * letters - 1 - 1e-9).cast("int")
+
+
+def _ranked(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """(name, grams): the pairs of letters of each name, those of few names first."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "gram"))), lambda x: x["gram"])
+    return grams.join(counts, "gram").groupBy("name").agg(ordered.alias("grams"))  # as long as a name
+
+
+def _signatures(named: DataFrame, cutoff: float) -> DataFrame:
+    """(name, size, signature, rank): what a name's partners must share with it.
+
+    Of two lists of which ``need`` are common, the first two common ones are among the first n - need + 2 of both, so these make signatures two by
+    two; where one common pair is enough, the first n - need + 1 do so alone. ``rank`` is the place of the first one.
+    """
+    named = named.withColumn("size", F.length("name"))
+    least = _need(F.col("size") + F.ceil(F.col("size") * cutoff / (2 - cutoff) - 1e-9), cutoff)
+    two = F.slice("grams", 1, F.greatest(F.size("grams") - F.greatest(least, F.lit(2)) + 2, F.lit(0)))
+    one = F.slice("grams", 1, F.size("grams") - F.greatest(least, F.lit(1)) + 1)
+    signature = lambda a, b, i: F.struct(F.xxhash64(a, b).alias("signature"), (i + 1).alias("rank"))
+    both = F.flatten(F.transform(two, lambda a, i: F.transform(F.slice(two, i + 2, F.size(two)), lambda b: signature(a, b, i))))
+    alone = F.when(least <= 1, F.transform(one, lambda a, i: signature(a, F.lit(""), i))).otherwise(F.array().cast("array<struct<signature:bigint,rank:int>>"))
+    return named.select("name", "size", F.explode(F.concat(both, alone)).alias("s")).select("name", "size", "s.*")
 
 
 def closest(names: DataFrame, vocabulary: DataFrame, cutoff: float = 0.85) -> DataFrame:
-    """(name, match, ratio): the vocabulary name most like each name, if at ``cutoff`` or more; ties to the greater name."""
-    size, letters = F.length("name"), _numbered_letters(F.col("name"))
-    low, high = F.ceil(size * cutoff / (2 - cutoff)).cast("int"), F.floor(size * (2 - cutoff) / cutoff).cast("int")
-    left = names.select("name", letters.alias("own"), F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))).alias("size"))
-    right = vocabulary.select(F.col("name").alias("match"), letters.alias("other"), size.alias("size"))
-    # letters in common, repeats counted: no fewer than the matched ones
-    shared = F.size(F.array_intersect("own", "other"))
-    pairs = left.join(right, "size").filter(2 * shared >= cutoff * (F.length("name") + F.length("match")) - 1e-9).select("name", "match")
+    """(name, match, ratio): the vocabulary name most like each name, if at ``cutoff`` or more; ties to the greater name.
+
+    An exact similarity join on pairs of neighbouring letters: names meet by signatures of rare pairs, stay if what can follow
+    the signature's first pair is enough, and if their common pairs are; only then the ratio is taken. Names of so few letters that no
+    common pair is certain, and cutoffs of up to 2 / 3, are compared by length. Null and empty names have no match.
+    """
+    names, vocabulary = (df.select("name").filter(F.length("name") > 0).distinct() for df in (names, vocabulary))
+    own, other = letter_pairs(names), letter_pairs(vocabulary)
+    counts = own.unionByName(other).groupBy("gram").agg(F.count("*").alias("n"))
+    own, other = _ranked(own, counts), _ranked(other, counts)
+    right = _signatures(other, cutoff).select(F.col("name").alias("match"), F.col("size").alias("other_size"), "signature", F.col("rank").alias("other_rank"))
+    together = F.col("size") + F.col("other_size")
+    # what follows the first common pair, that one included, is enough in both
+    follows = F.least(F.col("size") - F.col("rank"), F.col("other_size") - F.col("other_rank")) >= _need(together, cutoff)
+    fits = (2 * F.least("size", "other_size") >= cutoff * together - 1e-9) & follows
+    pairs = _signatures(own, cutoff).join(right, "signature").filter(fits).select("name", "match").distinct()
+    pairs = pairs.join(own, "name").join(other.select(F.col("name").alias("match"), F.col("grams").alias("others")), "match")
+    pairs = pairs.filter(F.size(F.array_intersect("grams", "others")) >= _need(F.length("name") + F.length("match"), cutoff)).select("name", "match")
+
+    # names that may be alike without a common pair
+    size = F.length("name")
+    high = F.floor(size * (2 - cutoff) / cutoff + 1e-9).cast("int")
+    low = F.ceil(size * cutoff / (2 - cutoff) - 1e-9).cast("int")
+    near = names.select("name", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))).alias("size")).filter(_need(size + F.col("size"), cutoff) <= 0)
+    near = near.join(vocabulary.select(F.col("name").alias("match"), F.length("name").alias("size")), "size").select("name", "match")
 
     @F.pandas_udf("double")
     def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -105,6 +153,6 @@ def closest(names: DataFrame, vocabulary: DataFrame, cutoff: float = 0.85) -> Da
                 out.append(matcher.ratio() if fast else 0.0)
             yield pd.Series(out, dtype=float)
 
-    scored = pairs.withColumn("ratio", ratio("name", "match")).filter(F.col("ratio") >= cutoff)
+    scored = pairs.unionByName(near).distinct().withColumn("ratio", ratio("name", "match")).filter(F.col("ratio") >= cutoff)
     best = scored.groupBy("name").agg(F.max_by(F.struct("match", "ratio"), F.struct("ratio", "match")).alias("b"))
     return best.select("name", "b.match", "b.ratio")
