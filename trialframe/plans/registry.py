@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import cleaning, coverage, curation, incremental, outlines, patients, reports, selection, snapshots, storage  # noqa: E402, F401
+from . import cleaning, coverage, curation, flows, incremental, outlines, patients, reports, selection, snapshots, storage  # noqa: E402, F401
