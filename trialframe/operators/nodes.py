@@ -2,21 +2,23 @@
 
 match_nodes: (key, node_path, op, body): ``op`` is and, or, clinical or genomic; ``body`` the leaf's JSON (null for and/or).
 
-Trees nest to any depth, which column expressions can't follow; so a tree is read by a small helper on the executors,
-row by row and with an explicit stack, while Spark resolves all names at once with joins.
-Text that is no JSON object has no nodes.
+Trees are read level by level inside their own row, with Spark's JSON functions: a level is an array of nodes, and the next one holds their
+children. The plan has as many levels as the deepest tree of the table, which one aggregation over the texts' brackets bounds; trees are
+rebuilt from the last level up. Names are resolved by joins, once each.
+
+Defined outcomes, listed by ``rejects``: text that is no JSON object and trees of over LEVELS levels have no nodes and validate to null; a name that is no
+text (a list, a number) can't be resolved and is dropped. Children that are no objects aren't nodes, but keep their number (a child that is a text which spells an
+object counts as that object). Null trees have no row.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from ..sources.shared import stored
 from . import vocab
 
 DIAGNOSIS = "oncotree_primary_diagnosis"
@@ -42,82 +44,87 @@ def append_node(steps: Column, node: Column) -> Column:
     return F.transform(steps, lambda s, i: F.when((i == 0) & node.isNotNull(), s.withField("match", F.array_append(s["match"], node))).otherwise(s))
 
 
-def _compact(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-
-
-def parsed(tree: str | None) -> dict | None:
-    """The tree of a JSON text, or None if it isn't one."""
-    try:
-        value = json.loads(tree) if tree else None
-    except ValueError:
-        return None
-    return value if isinstance(value, dict) else None
-
-
-def _op(node: dict) -> str:
-    return next((k for k in ("and", "or", "clinical") if node.get(k) is not None), "genomic")
-
-
-def walk(tree: dict) -> Iterator[tuple[list[int], str, dict]]:
-    """(path, op, node) of all nodes, parents first. Children that are no objects aren't nodes, but keep their number."""
-    todo: list[tuple[list[int], dict]] = [([], tree)]
-    while todo:
-        path, node = todo.pop()
-        op = _op(node)
-        yield path, op, node
-        if op in ("and", "or") and isinstance(node[op], list):
-            todo += [([*path, i], c) for i, c in reversed(list(enumerate(node[op]))) if isinstance(c, dict)]
-
-
-def diagnosis_of(node: dict) -> str | None:
-    """The diagnosis name of a clinical node."""
-    fields = node["clinical"]
-    return fields.get(DIAGNOSIS) if isinstance(fields, dict) else None
-
-
-def validated(tree: dict, resolved: dict[str, str | None]) -> dict | None:
-    """The tree with its diagnosis names looked up; names without an entry are dropped, and so is what becomes empty."""
-    out: dict[tuple[int, ...], dict | None] = {}
-    nodes = list(walk(tree))
-    kids: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
-    for path, _, _ in nodes[1:]:
-        kids.setdefault(tuple(path[:-1]), []).append(tuple(path))
-    for path, op, node in reversed(nodes):  # children first
-        at = tuple(path)
-        if op in ("and", "or"):
-            own = [x for x in (out.pop(k) for k in kids.get(at, [])) if x is not None]
-            out[at] = {op: own} if own else None
-        elif op == "clinical":
-            fields = dict(node[op]) if isinstance(node[op], dict) else {}
-            if DIAGNOSIS in fields:
-                fields[DIAGNOSIS] = resolved.get(fields[DIAGNOSIS])
-                if fields[DIAGNOSIS] is None:
-                    del fields[DIAGNOSIS]
-            out[at] = {op: fields} if fields else None
-        else:
-            out[at] = node
-    return out[()]
-
-
-def flatten_nodes(trees: DataFrame, key: str, node: str) -> DataFrame:
+#: deeper trees are rejected
+LEVELS = 100
+_PARTS = "and string, or string, clinical string, genomic string"
+
+
+def _brackets(text: Column) -> Column:
+    """How deep lists are nested in a JSON text, strings left out."""
+    plain = F.regexp_replace(text, r'"[^"\\]*(?:\\.[^"\\]*)*"', "")
+    signs = F.split(F.regexp_replace(plain, r"[^\[\]]", ""), "")
+    step = lambda x, c: F.struct((x["now"] + F.when(c == "[", 1).when(c == "]", -1).otherwise(0)).alias("now"), F.greatest(x["most"], x["now"] + F.when(c == "[", 1).otherwise(0)).alias("most"))
+    return F.aggregate(signs, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+
+
+def _op(parts: Column) -> Column:
+    return F.when(parts["and"].isNotNull(), "and").when(parts["or"].isNotNull(), "or").when(parts["clinical"].isNotNull(), "clinical").otherwise("genomic")
+
+
+def _level(rows: DataFrame, nodes: Column, name: str) -> DataFrame:
+    """``rows`` with an array of nodes (at, parent, text) as a level: each node's parts and operator, objects only."""
+    objects = F.filter(nodes, lambda n: F.coalesce(n["text"].startswith("{"), F.lit(False)))
+    read = F.transform(objects, lambda n: F.struct(n["at"].alias("at"), n["parent"].alias("parent"), n["text"].alias("text"), F.from_json(n["text"], _PARTS).alias("parts")))
+    return rows.withColumn(name, F.transform(read, lambda n: n.withField("op", _op(n["parts"]))))
+
+
+def _children(level: Column) -> Column:
+    """The children of a level's nodes in order, with the place of their parent in the level."""
+
+    def of(n: Column, i: Column) -> Column:
+        listed = F.when(n["op"] == "and", n["parts"]["and"]).when(n["op"] == "or", n["parts"]["or"])
+        own = F.when(listed.startswith("["), F.from_json(listed, "array<string>"))
+        nodes = F.transform(own, lambda c, j: F.struct(F.concat(n["at"], F.array(j)).alias("at"), i.alias("parent"), c.alias("text")))
+        return F.coalesce(nodes, F.array().cast("array<struct<at:array<int>,parent:int,text:string>>"))
+
+    return F.flatten(F.transform(level, of))
+
+
+def _levels(trees: DataFrame, key: str, node: str, levels: int) -> tuple[DataFrame, int]:
+    """(rows, n): the trees that aren't null (key, node), with ``deep``, whether there are more levels, and else columns level0 to level{n - 1}:
+    arrays of nodes (at, parent, op, text), with the text of leaves only."""
+    rows = trees.filter(F.col(node).isNotNull()).select(key, F.col(node).cast("string").alias("node"))
+    deepest = rows.agg(F.max(_brackets(F.col("node")))).head()[0] or 0
+    root = F.when(F.ltrim("node").startswith("{") & F.try_parse_json("node").isNotNull(), F.get(F.from_json(F.concat(F.lit("["), F.col("node"), F.lit("]")), "array<string>"), F.lit(0)))
+    first = F.array(F.struct(F.array().cast("array<int>").alias("at"), F.lit(-1).alias("parent"), root.alias("text")))
+    rows, n = _level(rows, first, "level0"), 1
+    while n <= min(deepest, levels - 1):
+        rows, n = _level(rows, _children(F.col(f"level{n - 1}")), f"level{n}"), n + 1
+    more = F.size(F.filter(_children(F.col(f"level{n - 1}")), lambda c: c["text"].startswith("{"))) > 0 if deepest >= levels else F.lit(False)
+    rows = rows.withColumn("deep", more)
+    leaf = lambda x: F.struct(x["at"].alias("at"), x["parent"].alias("parent"), x["op"].alias("op"), F.when(~x["op"].isin("and", "or"), x["text"]).alias("text"))
+    return rows.select(key, "node", "deep", *[F.when(~F.col("deep"), F.transform(f"level{i}", leaf)).alias(f"level{i}") for i in range(n)]), n
+
+
+def _fields(clinical: Column) -> Column:
+    return F.from_json(clinical, "map<string,variant>")
+
+
+def _name(fields: Column) -> Column:
+    """The diagnosis name of a clinical leaf's fields, null if it is no text."""
+    value = F.try_element_at(fields, F.lit(DIAGNOSIS))
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _flat(rows: DataFrame, n: int, key: str) -> DataFrame:
+    every = F.flatten(F.array_compact(F.array(*[F.col(f"level{i}") for i in range(n)])))
+    found = rows.select(key, F.explode(every).alias("n"))
+    return found.select(key, F.col("n.at").alias("node_path"), "n.op", F.col("n.text").alias("body"))
+
+
+def flatten_nodes(trees: DataFrame, key: str, node: str, levels: int = LEVELS) -> DataFrame:
     """match_nodes of one JSON tree for each row of ``trees``, in one pass and without a shuffle."""
-    rows = trees.filter(F.col(node).isNotNull()).select(key, F.col(node).alias("node"))
-    kinds = (pa.list_(pa.int32()), pa.string(), pa.string())
+    return _flat(*_levels(trees, key, node, levels), key)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner: list[int] = []
-            out: list[list] = [[], [], []]
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                for path, op, found in walk(tree) if (tree := parsed(text)) else ():
-                    owner.append(i)
-                    for column, value in zip(out, (path, op, None if op in ("and", "or") else _compact(found)), strict=True):
-                        column.append(value)
-            columns = [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(x, kind) for x, kind in zip(out, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, [key, "node_path", "op", "body"])
 
-    return rows.mapInArrow(run, schemas.with_fields(rows.select(key), "node_path array<int>, op string, body string"))
+def rejects(trees: DataFrame, key: str, node: str, levels: int = LEVELS) -> DataFrame:
+    """(key, node, reason): trees that aren't read as a whole."""
+    rows, n = _levels(trees, key, node, levels)
+    every = F.flatten(F.array_compact(F.array(*[F.col(f"level{i}") for i in range(n)])))
+    fields = F.transform(F.filter(every, lambda x: x["op"] == "clinical"), lambda x: _fields(F.get_json_object(x["text"], "$.clinical")))
+    odd = F.exists(fields, lambda f: F.try_element_at(f, F.lit(DIAGNOSIS)).isNotNull() & _name(f).isNull())
+    reason = F.when(F.col("deep"), f"over {levels} levels").when(F.size("level0") == 0, "no JSON object").when(odd, "a name that is no text")
+    return rows.select(key, "node", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def has_diagnosis(nodes: DataFrame, key: str) -> DataFrame:
@@ -129,39 +136,50 @@ def is_diagnosis() -> Column:
     return (F.col("op") == "clinical") & F.coalesce(F.get_json_object("body", f"$.clinical.{DIAGNOSIS}").isNotNull(), F.lit(False))
 
 
-def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str, corrections: dict[str, str | None] | None = None) -> DataFrame:
+def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str, corrections: dict[str, str | None] | None = None, levels: int = LEVELS) -> DataFrame:
     """(key, node): trees with their diagnosis names resolved; names that can't be are dropped, and so are leaves
     and and/or nodes that become empty. A clinical leaf's genomic part is lost; genomic leaves stay as they are.
 
     There is one row for each tree that isn't null; text without nodes gives null. Names are resolved once each, and go back
-    to the trees as one list for each key.
+    to the trees as one map for each key.
     """
-    rows = trees.filter(F.col(node).isNotNull()).select(key, F.col(node).alias("node"))
-    used = rows.mapInArrow(_names, schemas.with_fields(rows.select(key), "name string")).distinct()
+    rows, n = _levels(trees, key, node, levels)
+    rows = stored(rows.drop("node", "deep"), "trees")
+    leaves = _flat(rows, n, key).filter("op = 'clinical'").select(key, _fields(F.get_json_object("body", "$.clinical")).alias("fields"))
+    used = leaves.select(key, _name(F.col("fields")).alias("name")).filter("name IS NOT NULL").distinct()
+    used = stored(used, "names")  # several joins look them up
     resolved = vocab.resolve(used.select("name").distinct(), vocabulary, corrections=corrections).filter("resolved IS NOT NULL")
-    own = used.join(resolved, "name").groupBy(F.col(key).alias("__key")).agg(F.collect_list(F.struct("name", "resolved")).alias("names"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, names in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tree = parsed(text)
-                fixed = validated(tree, {x["name"]: x["resolved"] for x in names or ()}) if tree else None
-                out.append(None if fixed is None else _compact(fixed))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], [key, "node"])
-
-    joined = rows.join(own, F.col(key).eqNullSafe(F.col("__key")), "left").select(key, "node", "names")
-    return joined.mapInArrow(run, rows.schema)
-
-
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, name) of the diagnosis names in trees (key, node)."""
-    for batch in batches:
-        owner, names = [], []
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            tree = parsed(text)
-            own = {diagnosis_of(x) for _, op, x in walk(tree) if op == "clinical"} if tree else set()
-            found = sorted(x for x in own if isinstance(x, str))
-            owner += [i] * len(found)
-            names += found
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(names, pa.string())], [batch.schema.names[0], "name"])
+    own = used.join(resolved, "name").groupBy(F.col(key).alias("__key")).agg(F.map_from_entries(F.collect_list(F.struct("name", "resolved"))).alias("names"))
+    rows = rows.join(own, F.col(key).eqNullSafe(F.col("__key")), "left").withColumn("names", F.coalesce("names", F.create_map().cast("map<string,string>")))
+
+    def leaf(n: Column) -> Column:
+        return F.struct(n["parent"].alias("parent"), n["op"].alias("op"), n["text"].alias("text"), F.when(n["op"] == "clinical", _fields(F.get_json_object(n["text"], "$.clinical"))).alias("fields"))
+
+    def fixed(n: Column) -> Column:
+        """A clinical leaf's text, null if nothing is left."""
+        name = F.try_element_at("names", _name(n["fields"]))
+        kept = F.map_filter(n["fields"], lambda k, v: (k != DIAGNOSIS) | name.isNotNull())
+        fields = F.transform_values(kept, lambda k, v: F.when(k == DIAGNOSIS, name.cast("variant")).otherwise(v))
+        return F.when(F.size(kept) > 0, F.concat(F.lit('{"clinical":'), F.to_json(fields), F.lit("}")))
+
+    def rebuilt(below: str | None) -> Callable[[Column, Column], Column]:
+        """A node with its children's texts, which are in the level below."""
+
+        def kids(at: Column) -> Column:
+            if below is None:
+                return F.array().cast("array<string>")
+            return F.transform(F.filter(below, lambda c: (c["parent"] == at) & c["text"].isNotNull()), lambda c: c["text"])
+
+        return lambda x, at: x.withField("kids", F.when(x["op"].isin("and", "or"), kids(at)))
+
+    def written(x: Column) -> Column:
+        inner = F.when(F.size(x["kids"]) > 0, F.concat(F.lit('{"'), x["op"], F.lit('":['), F.array_join(x["kids"], ","), F.lit("]}")))
+        text = F.when(x["op"].isin("and", "or"), inner).when(x["op"] == "clinical", fixed(x)).otherwise(x["text"])
+        return F.struct(x["parent"].alias("parent"), text.alias("text"))
+
+    for i in reversed(range(n)):
+        level, below = f"level{i}", f"level{i + 1}" if i + 1 < n else None
+        # a column that is mentioned twice isn't copied into what uses it: a level is worked out once, not for every node above
+        made = F.transform(F.transform(F.transform(level, leaf), rebuilt(below)), written)
+        rows = rows.withColumn(level, made if below is None else F.when(F.size(below).isNotNull(), made))
+    return rows.select(key, F.get(F.col("level0"), F.lit(0))["text"].alias("node"))

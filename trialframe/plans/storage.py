@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import clean
 from ..operators import annotate, trials
-from ..sources import collections, registry, sheets
+from ..sources import collections, registry, rejects, sheets
 from ..sources.shared import shared_dir
 from ..streaming import incremental
 from .registry import query, table
@@ -93,6 +93,57 @@ def site_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(rejects)
 
 
+@query(
+    """WITH s AS (SELECT s_name, CASE s_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'odd ' || s_suppkey ELSE 'NCT' || lpad(s_suppkey::VARCHAR, 8, '0') END AS id FROM supplier),
+p AS (SELECT 'NCT' || lpad(p_partkey::VARCHAR, 8, '0') AS id, p_name FROM part)
+SELECT s.id AS key, s_name AS site, p_name AS title, CASE WHEN p.id IS NULL THEN 'no study with this id' ELSE 'found' END AS state FROM s LEFT JOIN p USING (id) WHERE s.id IS NOT NULL"""
+)
+def west_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the other site's sheet, whose ids aren't checked, enriched from parts as studies; rows without an id are skipped."""
+    path, key = folder(spark), F.col("s_suppkey")
+    id = F.when(key % 3 == 1, F.concat(F.lit("odd "), key)).when(key % 3 == 2, F.format_string("NCT%08d", key))
+    title, number = schemas.WEST[1 - schemas.WEST.index("nct_id")], "nct_id"
+    names = [F.when(F.lit(c == title), F.col("s_name")).when(F.lit(c == number), id).alias(c) for c in schemas.WEST]
+    table(spark, sf_dir, "supplier").select(*names).write.option("header", True).csv(f"{path}/sheet")
+    _studies(spark, sf_dir, f"{path}/studies")
+    found, missing = trials.normalize_site(sheets.read_site_sheet_west(spark, f"{path}/sheet"), registry.read_studies(spark, f"{path}/studies/*", "jsonl"), "west")
+    good = found.select(F.col("nct_id").alias("key"), F.get_json_object("_raw", f"$.site.{title}").alias("site"), F.col("_summary.short_title").alias("title"), F.lit("found").alias("state"))
+    return good.unionByName(missing.select(F.col("nct_id").alias("key"), F.col(title).alias("site"), F.lit(None).cast("string").alias("title"), F.col("reason").alias("state")))
+
+
+@query(
+    """SELECT 'study' AS kind, CASE WHEN p_partkey % 7 = 0 THEN 'malformed' WHEN p_partkey % 7 = 1 THEN 'no study' ELSE 'good' END AS outcome, count(*) AS n, sum(p_partkey)::BIGINT AS keys FROM part GROUP BY 2
+UNION ALL SELECT 'match', CASE WHEN c_custkey % 5 = 0 THEN 'malformed' WHEN c_custkey % 5 = 1 THEN 'no sample' ELSE 'good' END, count(*), sum(c_custkey)::BIGINT FROM customer GROUP BY 2
+UNION ALL SELECT 'protocol', CASE WHEN s_suppkey % 4 = 0 THEN 'malformed' WHEN s_suppkey % 4 = 1 THEN 'no number' ELSE 'good' END, count(*), sum(s_suppkey)::BIGINT FROM supplier GROUP BY 2"""
+)
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as studies, customers as matches and suppliers as protocols, some of them broken or without a name: what the readers keep and what is rejected."""
+    path = folder(spark)
+
+    def lines(name: str, key: str, each: int, good: str, empty: str, broken: str, folder: str) -> None:
+        k = F.col(key)
+        fill = lambda text: F.concat(*[x for i, part in enumerate(text.split("@")) for x in ((k.cast("string"),) if i else ()) + (F.lit(part),)])
+        text = F.when(k % each == 0, fill(broken)).when(k % each == 1, fill(empty)).otherwise(fill(good))
+        table(spark, sf_dir, name).select(text.alias("value")).write.text(f"{path}/{folder}")
+
+    lines("part", "p_partkey", 7, '{"nct_id":"@","brief_title":"t"}', '{"brief_title":"@"}', '{"nct_id":"@', "studies")
+    lines("customer", "c_custkey", 5, '{"sample_id":"@"}', '{"sample_id":"","protocol_no":"@"}', '@ {"sample_id"', "matches")
+    lines("supplier", "s_suppkey", 4, "<PROTOCOL><NO>@</NO><STATUS>OPEN</STATUS></PROTOCOL>", "<PROTOCOL><STATUS>@</STATUS></PROTOCOL>", "<PROTOCOL><NO>@</STATUS></PROTOCOL>", "protocols")
+    good = {
+        "study": registry.read_studies(spark, f"{path}/studies", "jsonl").select(F.col("nct_id").alias("key")),
+        "match": collections.read_matches(spark, f"{path}/matches", "jsonl").filter(clean.filled(F.col("sample_id")).isNotNull()).select(F.col("sample_id").alias("key")),
+        "protocol": registry.read_registry_xml(spark, f"{path}/protocols").filter("protocol_no IS NOT NULL").select(F.col("protocol_no").alias("key")),
+    }
+    bad = {"study": rejects.study_rejects(spark, f"{path}/studies", "jsonl"), "match": rejects.match_rejects(spark, f"{path}/matches", "jsonl"), "protocol": rejects.registry_rejects(spark, f"{path}/protocols")}
+    rows = None
+    for kind, kept in good.items():
+        number = F.regexp_extract(F.col("record"), r"([0-9]+)", 1)
+        both = kept.withColumn("outcome", F.lit("good")).union(bad[kind].select(number, "reason"))
+        both = both.groupBy("outcome").agg(F.count("*").alias("n"), F.sum(F.col("key").cast("long")).alias("keys")).select(F.lit(kind).alias("kind"), "outcome", "n", "keys")
+        rows = both if rows is None else rows.union(both)
+    return rows
+
+
 @query(
     """WITH o AS (SELECT * FROM orders WHERE o_custkey % 7 > 0),
 f AS (SELECT o_custkey, l_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'tempus' ELSE o_orderpriority END AS source FROM lineitem JOIN o ON l_orderkey = o_orderkey)
@@ -115,22 +166,27 @@ def patient_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT route AS part, count(*) AS n, md5(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) AS keys FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'changed' WHEN 1 THEN 'deleted' ELSE 'unchanged' END AS route FROM orders) GROUP BY route
-UNION ALL SELECT CASE o_orderkey % 2 WHEN 0 THEN 'high_confidence' ELSE 'needs_curation' END, count(*), md5(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) FROM orders GROUP BY 1
-UNION ALL SELECT 'report', count(*), md5(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) FROM orders"""
+    """SELECT route AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS keys, bit_xor(o_orderkey * o_orderkey) AS marks FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'changed' WHEN 1 THEN 'deleted' ELSE 'unchanged' END AS route FROM orders) GROUP BY route
+UNION ALL SELECT CASE o_orderkey % 2 WHEN 0 THEN 'high_confidence' ELSE 'needs_curation' END, count(*), sum(o_orderkey)::BIGINT, bit_xor(o_orderkey * o_orderkey) FROM orders GROUP BY 1
+UNION ALL SELECT 'report', count(*), sum(o_orderkey)::BIGINT, bit_xor(o_orderkey * o_orderkey) FROM orders
+UNION ALL SELECT 'open orders', count(*), sum(o_orderkey)::BIGINT, bit_xor(o_orderkey * o_orderkey) FROM orders WHERE o_orderstatus = 'O'"""
 )
 def sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders through the partitioned sinks and the sectioned report, read back."""
+    """Orders through the partitioned sinks and a report of two sections, read back."""
     path, key = folder(spark), F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(key % 3 == 0, "changed").when(key % 3 == 1, "deleted").otherwise("unchanged").alias("route"), F.when(key % 2 == 0, "high_confidence").otherwise("needs_curation").alias("tier"))
+    tier = F.when(key % 2 == 0, "high_confidence").otherwise("needs_curation")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(key % 3 == 0, "changed").when(key % 3 == 1, "deleted").otherwise("unchanged").alias("route"), tier.alias("tier"))
     collections.write_diff(orders, f"{path}/diff")
     collections.write_tiers(orders, f"{path}/tiers")
-    collections.write_sectioned_report({"All orders": orders.select("o_orderkey")}, f"{path}/report")
-    keys = F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda k: k.cast("string")), ",")).alias("keys")
-    diff = spark.read.parquet(f"{path}/diff").groupBy(F.col("route").alias("part")).agg(F.count("*").alias("n"), keys)
-    tiers = spark.read.parquet(f"{path}/tiers").groupBy(F.col("tier").alias("part")).agg(F.count("*").alias("n"), keys)
-    report = spark.read.schema("o_orderkey long").option("header", True).csv(f"{path}/report/1_all_orders").agg(F.lit("report").alias("part"), F.count("*").alias("n"), keys)
-    return diff.union(tiers).union(report)
+    collections.write_sectioned_report({"All orders": orders.select("o_orderkey"), "Open: orders": orders.filter("o_orderstatus = 'O'").select("o_orderkey")}, f"{path}/report")
+    marks = [F.count("*").alias("n"), F.sum(key).alias("keys"), F.bit_xor(key * key).alias("marks")]
+    diff = spark.read.parquet(f"{path}/diff").groupBy(F.col("route").alias("part")).agg(*marks)
+    tiers = spark.read.parquet(f"{path}/tiers").groupBy(F.col("tier").alias("part")).agg(*marks)
+    out = diff.union(tiers)
+    for part, section in (("report", "1_all_orders"), ("open orders", "2_open__orders")):
+        read = spark.read.schema("o_orderkey long").option("header", True).csv(f"{path}/report/{section}")
+        out = out.union(read.agg(*marks).select(F.lit(part).alias("part"), "n", "keys", "marks"))
+    return out
 
 
 @query(

@@ -75,7 +75,7 @@ def write_tiers(tiered: DataFrame, path: str) -> None:
 
 
 def write_sectioned_report(sections: dict[str, DataFrame], path: str) -> None:
-    """One CSV folder for each section of a report, named by its number and title."""
+    """One CSV folder for each section of a report, named by its number and title; a section may have several files."""
     for number, (title, df) in enumerate(sections.items(), 1):
         name = "".join(c if c.isalnum() else "_" for c in title.lower())
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/{number}_{name}")
+        df.write.mode("overwrite").option("header", True).csv(f"{path}/{number}_{name}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -10,9 +10,18 @@ from ..functions import clean
 from ..operators import trials
 
 
+def xml_reader(spark: SparkSession) -> DataFrameReader:
+    """By protocols: a file is split among tasks, and a broken protocol doesn't cost those after it, as it does where the
+    file is parsed as one document."""
+    return spark.read.format("xml").option("rowTag", "PROTOCOL").option("nullValue", "").option("useLegacyXMLParser", True)
+
+
 def read_registry_xml(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each protocol, with ``categories`` (those with a first level), ``satellite_sites`` and ``ord``."""
-    raw = spark.read.format("xml").option("rowTag", "PROTOCOL").option("nullValue", "").schema(schemas.REGISTRY_XML).load(path)
+    """One row for each protocol, with ``categories`` (those with a first level), ``satellite_sites`` and ``ord``.
+
+    Protocols that are no XML give rows without values; ``rejects.registry_rejects`` lists them.
+    """
+    raw = xml_reader(spark).schema(schemas.REGISTRY_XML).load(path)
     own = [clean.blank_to_null(F.col(tag)).alias(name) for name, tag in schemas.REGISTRY_FIELDS.items()]
 
     def part(c):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,3 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = sc.getCheckpointDir()
     return path.rstrip("/")
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: worked out once, and its plan ends at the files."""
+    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
