@@ -102,6 +102,33 @@ def test_condition_keywords(spark):
     assert df.select(vocab.condition_diagnoses(F.col("c"))).head()[0] == ["Sarcoma, NOS", "Breast"]
 
 
+def test_keyword_rules(spark):
+    """The table form against the chain on the library's own rules, and against a search of all of 10,000 rules."""
+    import random
+
+    from trialframe.functions import clean
+
+    def table(listed):
+        return spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(listed)], "pos int, keyword string, value string")
+
+    rng = random.Random(2)
+    own = list(rules.CONDITION_KEYWORDS)
+    texts = [None, "", "nothing here", *(f"{rng.choice(own)[0].upper()} x {rng.choice(own)[0]}" for _ in range(200))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, value string")
+    chain = df.select("i", clean.first_keyword(F.col("text"), own).alias("value")).collect()
+    got = vocab.keyword_rules(df, "text", table(own))
+    assert got.columns == ["i", "text", "value"]
+    assert {r.i: r.value for r in got.collect()} == {r.i: r.value for r in chain}
+
+    many = [("".join(rng.choices("abcdé", k=rng.randint(4, 7))), rng.choice((None, f"v{i}"))) for i in range(10_000)] + [("", "never"), (None, "never")]
+    texts = ["".join(rng.choices("abcdé ", k=rng.randint(0, 60))) for _ in range(200)] + ["e" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    want = {i: next((v for k, v in many if k and k in t), None) for i, t in enumerate(texts)}
+    assert {r.i: r.value for r in vocab.keyword_rules(df, "text", table(many)).collect()} == want
+    assert {r.value for r in vocab.keyword_rules(df, "text", table([])).collect()} == {None}
+    assert vocab.keyword_rules(df.limit(0), "text", table(own)).count() == 0
+
+
 def test_vocabulary(spark):
     names = spark.createDataFrame([(x,) for x in ("Diffuse Glioma", "!Glioma", "Leukemia", "Melanomma", "!Melanomma", "zzz", None)], "name string")
     known = spark.createDataFrame([("Diffuse Glioma",), ("Melanoma",)], "name string")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, rules
 
+#: letters of all keywords of a rule table together
+MAX_RULES = 5_000_000
+
 
 def cascade_table(spark: SparkSession, table: Mapping[tuple[str, str, str], str | None]) -> DataFrame:
     """(c1, c2, c3, value) of a rule mapping."""
@@ -54,6 +57,36 @@ def condition_diagnoses(conditions: Column) -> Column:
     return F.array_distinct(F.array_compact(found))
 
 
+def keyword_rules(df: DataFrame, text: str, rules: DataFrame, into: str = "value") -> DataFrame:
+    """``df`` with the value of the first rule (pos, keyword, value) whose keyword is in the text in lower case; null without one, and where the rule has none.
+
+    The table form of ``functions.clean.first_keyword`` for rules by the thousand: one automaton over all keywords passes each text once, however many there are. Of equal
+    keywords the least ``pos`` counts, and an empty or null keyword never does. The rules are the caller's table; it is collected and sent to the executors, and refused beyond
+    MAX_RULES letters. A null text has no rule; columns named like the result are replaced.
+    """
+    import ahocorasick
+
+    listed = rules.filter(F.length("keyword") > 0).groupBy("keyword").agg(F.min(F.struct("pos", "value")).alias("r")).select("keyword", "r.*")
+    if (listed.agg(F.sum(F.length("keyword"))).head()[0] or 0) > MAX_RULES:
+        raise ValueError(f"keywords of over {MAX_RULES} letters together")
+    found = sorted(listed.collect(), key=lambda r: r["pos"])
+    values = [r["value"] for r in found]
+    automaton = ahocorasick.Automaton()
+    for place, r in enumerate(found):
+        automaton.add_word(r["keyword"], place)
+    automaton.make_automaton()
+    shared = df.sparkSession.sparkContext.broadcast(automaton)
+
+    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if t is None else min((place for _, place in shared.value.iter(t)), default=None) for t in texts], dtype="Int32")
+
+    place = F.pandas_udf(first, "int")(F.lower(F.col(text).cast("string"))) if found else F.lit(None).cast("int")
+    kept = [c for c in df.columns if c != into]
+    table = df.sparkSession.createDataFrame(list(enumerate(values)), f"__place int, __value {rules.schema['value'].dataType.simpleString()}")
+    return df.withColumn("__place", place).join(F.broadcast(table), "__place", "left").select(*kept, F.col("__value").alias(into))
+
+
 def resolve(names: DataFrame, vocabulary: DataFrame, name: str = "name", corrections: Mapping[str, str | None] | None = None, cutoff: float = 0.85) -> DataFrame:
     """``names`` with ``resolved``: the name if the vocabulary has it, else its correction (none: dropped), else
     the closest vocabulary name at ``cutoff`` or more, else null. A leading ``!`` is kept.

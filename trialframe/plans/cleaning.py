@@ -174,6 +174,23 @@ def keyword_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", clean.first_keyword(F.col("text"), _KEYWORDS).alias("value"))
 
 
+@query(
+    """WITH r AS (SELECT lower(n_name) AS keyword, n_nationkey AS pos, CASE WHEN n_nationkey % 4 > 0 THEN n_name END AS value FROM nation
+UNION ALL SELECT word, 1000 + item_id * 1000 + length(word), word FROM (SELECT item_id, unnest(string_split(lower(text), ' ')) AS word FROM benchmark) WHERE length(word) >= 5),
+hit AS (SELECT doc_id, arg_min({'value': value}, {'pos': pos, 'value': coalesce(value, '')}) AS v FROM documents JOIN r ON contains(lower(text), keyword) GROUP BY doc_id)
+SELECT doc_id, v.value AS value FROM documents LEFT JOIN hit USING (doc_id)"""
+)
+def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations and then the words of the benchmark as rules over the documents."""
+    from ..operators import vocab
+
+    key = F.col("n_nationkey").cast("long")
+    nations = table(spark, sf_dir, "nation").select(F.lower("n_name").alias("keyword"), key.alias("pos"), F.when(key % 4 > 0, F.col("n_name")).alias("value"))
+    words = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.split(F.lower("text"), " ")).alias("keyword")).filter(F.length("keyword") >= 5)
+    rules = nations.unionByName(words.select("keyword", (1000 + F.col("item_id") * 1000 + F.length("keyword")).alias("pos"), F.col("keyword").alias("value")))
+    return vocab.keyword_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", rules).select("doc_id", "value")
+
+
 @query(
     """WITH v AS (SELECT DISTINCT p_name AS name FROM part), n AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '!' || p_name WHEN 1 THEN 'Old Name' WHEN 2 THEN 'Gone Name' WHEN 3 THEN 'zzzzzzzzzzzz' ELSE p_name END AS name FROM part)
 SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN (SELECT min(name) FROM v) WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE name END AS resolved FROM n"""
