@@ -7,6 +7,12 @@ Stages, each on all that the one before it kept:
 3. ``decontaminate``: documents that hold a benchmark item go.
 4. ``secrets``: secrets inside texts become a mark; no document goes.
 5. ``sentencepiece``: what is left is encoded and decoded.
+
+The second stage is op8's ball hashing on five-word shingles together with MinHash bands, since fingerprints alone lose near-copies; every link is verified.
+
+Null text counts as empty, so the first stage drops it. Rows with a null id pass the second stage as they are. Rows repeated in every column stay or go
+together; texts of one id are told apart by their words, but a benchmark item in one drops all rows of its id. Of equally near documents the least id stays. Columns of any
+name pass all stages but the last, which gives token digests. A text is one cell in every stage, however long. An empty table passes as an empty table.
 """
 
 from __future__ import annotations
