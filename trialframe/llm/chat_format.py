@@ -16,6 +16,8 @@ count as one text part with that JSON text; a part of unknown type as a text par
 negative or no numbers as 0. So no row is lost and none ends the job.
 Digests run over a conversation's segments as a stream, in constant memory; one conversation is
 one stream, because a SHA-256 of its turns can't be put together from parts.
+
+A size of 1e9 or more counts as 0 too (``amount``), so that no sum leaves 64 bits. A turn is one cell, however long. Other columns don't matter. An empty table gives no segments.
 """
 
 from __future__ import annotations

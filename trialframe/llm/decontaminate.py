@@ -15,6 +15,9 @@ fewer words than a shingle is one shingle, its whole sequence. Items without wor
 texts match nothing. The items are indexed in blocks of bounded size (BLOCK_BYTES of distinct items), each sent to the executors
 once and searched in all documents; documents are never shuffled. A benchmark is far smaller than the corpus; one of many blocks costs a pass
 over the documents for each.
+
+Rows with null or equal ids are searched like others and give rows of their own; ``clean`` drops all rows of an id that holds an item, null ids as one id. A document is
+one cell and one slice, however long. Without documents or without items there are no rows, and nothing is dropped.
 """
 
 from __future__ import annotations

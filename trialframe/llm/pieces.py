@@ -6,6 +6,9 @@ word's least pair rank and merges its leftmost pair, in all words at once, until
 remains. Symbols that are no piece fall back to bytes. Decoding looks up each id's bytes.
 
 Null text counts as empty: no ids, empty decoded text.
+
+Every row is coded by itself: repeated rows, equal or null ids give rows of their own. Words of over 1,024 symbols (``merges.LONG``) are merged with a
+heap instead of in rounds, with equal results. A text is one cell and one slice, however long. An empty table gives no rows.
 """
 
 from __future__ import annotations

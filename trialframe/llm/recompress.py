@@ -25,6 +25,8 @@ and flush. No group of occurrences is ever gathered.
 
 Null text has no words: it counts 0 and keeps the empty text. Rows with equal or null ids are put
 in order of id (null first) and text, and count as documents one after another.
+
+Other columns don't matter. A text is one cell and one slice, however long. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ two), over all runs tested in all documents, those that fail the battery include
 So many short words don't hide long keys, and the share of false finds is bounded in each class.
 
 Null text counts as empty. Rows with equal ids are scanned as they are, one row each.
+
+Columns of any name pass ``redact`` unchanged. A text is one cell and one slice, however long. An empty table, and a table without runs to test, has no random spans.
 """
 
 from __future__ import annotations

@@ -10,6 +10,9 @@ and components of the links are found by alternating stars.
 
 Null text counts as empty; texts without words have fingerprint zero and link like any other.
 Rows with equal ids stay rows of their own.
+
+A class of rows with null ids only has a null component. Columns other than doc_id and text are left out. A text is one cell and one slice, however long. An empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,6 +8,9 @@ once. Each vocabulary keeps a bounded cache of pre-token counts, which only save
 
 Null text counts as empty (0 bytes, 0 tokens). Special strings of the vocabulary inside a
 text are one token each and end the pre-tokens beside them, as the library does by default.
+
+Every row is counted by itself: repeated rows, equal or null ids give rows of their own, and other columns pass by unused. Pre-tokens of over 1,024
+bytes (``merges.LONG``) are merged with a heap instead of in rounds, with equal results. A text is one cell and one slice, however long. An empty table gives no rows.
 """
 
 from __future__ import annotations

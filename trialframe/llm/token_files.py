@@ -13,6 +13,8 @@ canonical code follows, and ``path``/blocks the blocks. Any later session can re
 
 Null text counts as empty: only the end id. Documents with a null id come first; documents
 with equal ids are kept, ordered by a hash of their ids (equal ones are interchangeable).
+
+A document is never split: one with more ids than a block holds is a block of its own. Other columns don't matter. An empty table gives files without blocks, which read as no rows.
 """
 
 from __future__ import annotations
