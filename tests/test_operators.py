@@ -102,6 +102,26 @@ def test_condition_keywords(spark):
     assert df.select(vocab.condition_diagnoses(F.col("c"))).head()[0] == ["Sarcoma, NOS", "Breast"]
 
 
+def test_a_bucketed_master_is_not_exchanged(spark):
+    import uuid
+
+    rows = [(i % 40, f"v{i % 7}", i) for i in range(100)]
+    master = spark.createDataFrame(rows, "key int, value string, ord int")
+    new = spark.createDataFrame([(i, f"v{i % 5}", 0) for i in range(30, 60)] + [(None, "x", 0)], master.schema)
+    name = f"master_{uuid.uuid4().hex}"
+    kept = lifecycle.save_master(master, name, "key", 4)
+    try:
+        diff = lifecycle.snapshot_diff(new, kept, "key", F.md5("value"), ord="ord")
+        plain = lifecycle.snapshot_diff(new, master, "key", F.md5("value"), ord="ord")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        assert sorted(map(tuple, diff.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        plan = lifecycle.snapshot_diff(new, kept, "key", F.md5("value"), ord="ord")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_keyword_rules(spark):
     """The table form against the chain on the library's own rules, and against a search of all of 10,000 rules."""
     import random

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +60,11 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.struct("ts", "event_id").alias("ord"))
     return lifecycle.last_write_wins(events, "user_id", "ord").drop("ord")
+
+
+@query(_SNAPSHOTS + "SELECT o_orderkey, route FROM d")
+def bucketed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same diff against a master that is kept in buckets."""
+    new, master = snapshots(spark, sf_dir)
+    kept = lifecycle.save_master(master, f"orders_master_{uuid.uuid4().hex}", "o_orderkey", 8)
+    return lifecycle.snapshot_diff(new, kept, "o_orderkey", F.md5("p"))
