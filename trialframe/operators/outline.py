@@ -6,14 +6,11 @@ headers; ``parent_pos`` is null at the top level.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions.clean import strip
+from ..sources.shared import stored
 
 
 def parse_outline(lines: DataFrame, key: str, pos: str, header: Column, depth: Column, text: Column) -> DataFrame:
@@ -63,24 +60,21 @@ def parse_outline_markdown(df: DataFrame, key: str, text: str) -> DataFrame:
 def criterion_paths(criteria: DataFrame, key: str) -> DataFrame:
     """Criteria with ``path``, the positions from the top item down to the item itself, and ``root_pos``, at any depth.
 
-    One exchange by document; a document's items pass in order, and each continues its parent's path, which came before.
+    Each item starts with the link to its parent; in every round the stretches of path that meet are joined and the links become twice as
+    long, so the number of rounds is the logarithm of the depth (one for outlines of two levels). A document may span tasks. Rounds are stored in the shared
+    folder, without texts. A parent that isn't there, or doesn't come before its item, counts as none; of several items at one position the first parent counts.
     """
-    names = criteria.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: object = run  # no key yet
-        paths: dict[int, list[int]] = {}
-        for batch in batches:
-            out = []
-            for doc, pos, up in zip(*(batch.column(c).to_pylist() for c in (key, "pos", "parent_pos")), strict=True):
-                if doc != last:
-                    last, paths = doc, {}
-                paths[pos] = [*paths.get(up, []), pos]
-                out.append(paths[pos])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], [*names, "path"])
-
-    ordered = criteria.repartition(key).sortWithinPartitions(key, "pos")
-    return ordered.mapInArrow(run, schemas.with_fields(criteria, "path array<int>")).withColumn("root_pos", F.element_at("path", 1))
+    before = F.when(F.col("parent_pos") < F.col("pos"), F.col("parent_pos"))
+    links = criteria.groupBy(F.col(key).alias("__key"), F.col("pos").alias("__at")).agg(F.min(before).alias("__up"))
+    paths = stored(links.withColumn("path", F.array(F.col("__at").cast("int"))), "paths")
+    while not paths.filter("__up IS NOT NULL").isEmpty():
+        low, high = paths.alias("low"), paths.alias("high")
+        joined = low.join(high, F.col("low.__key").eqNullSafe(F.col("high.__key")) & (F.col("low.__up") == F.col("high.__at")), "left")
+        longer = F.concat(F.coalesce("high.path", F.array().cast("array<int>")), "low.path")
+        paths = stored(joined.select("low.__key", "low.__at", F.col("high.__up").alias("__up"), longer.alias("path")), "paths")
+    own = criteria.drop("path", "root_pos")
+    found = own.join(paths.drop("__up"), F.col(key).eqNullSafe(F.col("__key")) & (F.col("pos") == F.col("__at"))).drop("__key", "__at")
+    return found.withColumn("root_pos", F.element_at("path", 1))
 
 
 def criteria_worklist(criteria: DataFrame, key: str) -> DataFrame:
