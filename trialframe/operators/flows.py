@@ -1,6 +1,6 @@
 """Whole flows from the operators: the weekly cycle of a master of trials, and the report on coverage.
 
-Both are lazy plans, but for the names and the grouped rows that they store once in the shared folder.
+Both are lazy plans, but for what they use several times and store once in the shared folder: names, validated suggestions and grouped rows.
 """
 
 from __future__ import annotations
@@ -47,11 +47,11 @@ def weekly_cycle(
     routed = lifecycle.route_snapshot(keyed, lifecycle.split_keyless(master, key)[0], key, compared, carried)
     changed = routed.filter("route = 'changed'").select(key).distinct()
     work = criteria.join(changed, key, "left_semi").withColumn("cache_key", clean.cache_key(F.col("source"), F.col("text")))
-    suggested = suggested_nodes(work, store, vocabulary, corrections)
+    suggested = stored(suggested_nodes(work, store, vocabulary, corrections), "suggested")  # used twice, and its plan is long
     curated = curate.curate(suggested, biomarkers.join(changed, key, "left_semi"), key)
     missing = suggested.groupBy(key).agg(F.count_if(~F.col("hit")).alias("n_missing"))
     trees = routed.filter(f"route = 'changed' AND {tree} IS NOT NULL").select(tree).distinct()
-    sure = nodes.has_diagnosis(nodes.flatten_nodes(trees, tree, tree), tree)
+    sure = stored(nodes.has_diagnosis(nodes.flatten_nodes(trees, tree, tree), tree), "diagnoses")
     kept = [c for c in curated.columns if c != key]
     rows = routed.filter("route = 'changed'").join(curated, key, "left").join(missing, key, "left").join(sure, tree, "left")
     tiered = curate.split_by_confidence(rows, F.col("has_diagnosis"), F.transform("biomarker_references", lambda b: b["type"]), allowed)
