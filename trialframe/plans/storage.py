@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -21,6 +21,11 @@ def folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
+def registry_id(key: Column) -> Column:
+    """NCT and eight digits; longer numbers are cut, as SQL's lpad does (a format only pads them)."""
+    return F.concat(F.lit("NCT"), F.lpad(key.cast("string"), 8, "0"))
+
+
 @query(
     """SELECT '2020.' || s_suppkey AS trial_key, CASE WHEN s_suppkey % 2 = 0 THEN 'open to accrual' ELSE 'ODD' END AS status, 'amc' AS entity, CASE s_suppkey % 3 WHEN 0 THEN 'Phase I' WHEN 1 THEN 'N/A' END AS phase,
 CASE WHEN s_suppkey % 4 = 0 THEN 'Pediatric' ELSE 'Adult' END AS age, s_name || '|Liver' AS keywords, CASE WHEN s_suppkey % 4 = 0 THEN '{"clinical":{"age_numerical":"<18"}}' ELSE '{"clinical":{"age_numerical":">=18"}}' END
@@ -50,7 +55,7 @@ def registry_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _studies(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Parts as public studies in three shapes, a record a line."""
     key = F.col("p_partkey")
-    id, phases = F.format_string("NCT%08d", key), F.array(F.lit("PHASE1"), F.lit("PHASE2"))
+    id, phases = registry_id(key), F.array(F.lit("PHASE1"), F.lit("PHASE2"))
     section = F.struct(
         F.struct(id.alias("nctId"), F.col("p_name").alias("briefTitle")).alias("identificationModule"),
         F.struct(F.lit("RECRUITING").alias("overallStatus")).alias("statusModule"),
@@ -82,7 +87,7 @@ UNION ALL SELECT id, s_name, NULL, 'malformed nct_id' FROM s WHERE id = 'odd'"""
 def site_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as a site's sheet, enriched from parts as studies; rows without an id are skipped."""
     path, key = folder(spark), F.col("s_suppkey")
-    id = F.when(key % 4 == 1, "odd").when(key % 4 == 2, F.format_string(" nct %08d", key)).when(key % 4 == 3, F.format_string("NCT%08d", key * 1_000_000))
+    id = F.when(key % 4 == 1, "odd").when(key % 4 == 2, F.regexp_replace(registry_id(key), "NCT", " nct ")).when(key % 4 == 3, registry_id(key * 1_000_000))
     names = [F.when(F.lit(c == "study_name"), F.col("s_name")).when(F.lit(c == "nct_id"), id).alias(c) for c in schemas.SPARROW]
     table(spark, sf_dir, "supplier").select(*names).write.option("header", True).csv(f"{path}/sheet")
     _studies(spark, sf_dir, f"{path}/studies")
@@ -101,7 +106,7 @@ SELECT s.id AS key, s_name AS site, p_name AS title, CASE WHEN p.id IS NULL THEN
 def west_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as the other site's sheet, whose ids aren't checked, enriched from parts as studies; rows without an id are skipped."""
     path, key = folder(spark), F.col("s_suppkey")
-    id = F.when(key % 3 == 1, F.concat(F.lit("odd "), key)).when(key % 3 == 2, F.format_string("NCT%08d", key))
+    id = F.when(key % 3 == 1, F.concat(F.lit("odd "), key)).when(key % 3 == 2, registry_id(key))
     title, number = schemas.WEST[1 - schemas.WEST.index("nct_id")], "nct_id"
     names = [F.when(F.lit(c == title), F.col("s_name")).when(F.lit(c == number), id).alias(c) for c in schemas.WEST]
     table(spark, sf_dir, "supplier").select(*names).write.option("header", True).csv(f"{path}/sheet")
