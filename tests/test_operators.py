@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from trialframe.functions import rules
@@ -287,6 +288,23 @@ def test_odd_trees(spark):
     assert nodes.validate_nodes(empty, valid, "k", "t").count() == nodes.rejects(empty, "k", "t").count() == 0
 
 
+def test_equal_trees_are_validated_once(spark, monkeypatch):
+    sizes, stored = {}, nodes.stored
+
+    def counted(df, tag):
+        out = stored(df, tag)
+        sizes[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(nodes, "stored", counted)
+    text = '{"clinical":{"oncotree_primary_diagnosis":"%s"}}'
+    rows = [(k % 7, text % "AT"[k % 2]) for k in range(20)] + [(None, text % "A"), (8, "no tree"), (9, None)]
+    valid = spark.createDataFrame([("A",), ("B",)], "name string")
+    out = nodes.validate_nodes(spark.createDataFrame(rows, "k int, node string"), valid, "k", "node", {"T": "B"}).collect()
+    assert sorted(map(str, out)) == sorted(str(Row(k=k, node=None if t == "no tree" else t.replace('"T"', '"B"'))) for k, t in rows if t)
+    assert sizes["trees"] == 22 and sizes["levels"] == sizes["texts"] == 3
+
+
 def test_store_nulls_are_hits(spark):
     work = spark.createDataFrame([(1, "k1", "t1"), (1, "k2", "t2"), (2, "k3", "t3"), (2, "k3", "t3")], "trial int, cache_key string, text string")
     store = spark.createDataFrame([("k1", None, True, 0), ("k2", '"a"', False, 0), ("k2", '"b"', False, 1)], annotate.STORE_SCHEMA)

@@ -140,27 +140,42 @@ def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str,
     """(key, node): trees with their diagnosis names resolved; names that can't be are dropped, and so are leaves
     and and/or nodes that become empty. A clinical leaf's genomic part is lost; genomic leaves stay as they are.
 
-    There is one row for each tree that isn't null; text without nodes gives null. Names are resolved once each, and go back
-    to the trees as one map for each key.
+    There is one row for each tree that isn't null; text without nodes gives null. Equal texts give equal trees, so each text is
+    validated once and joined to the keys that have it. Names are resolved once each, and go back to the texts as one map for each.
     """
-    rows, n = _levels(trees, key, node, levels)
-    rows = stored(rows.drop("node", "deep"), "trees")
-    leaves = _flat(rows, n, key).filter("op = 'clinical'").select(key, _fields(F.get_json_object("body", "$.clinical")).alias("fields"))
-    used = leaves.select(key, _name(F.col("fields")).alias("name")).filter("name IS NOT NULL").distinct()
+    trees = stored(trees.filter(F.col(node).isNotNull()).select(key, F.col(node).cast("string").alias("node")), "trees")
+    # dealt out again, since few bytes of text are much work
+    texts = trees.select("node").distinct().repartition(int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = stored(texts.withColumn("tree", F.monotonically_increasing_id()), "texts")
+    valid = stored(_validated(texts, vocabulary, corrections, levels).join(texts, "tree").select(F.col("node").alias("__text"), "valid"), "valid")
+    return trees.join(valid, F.col("node") == F.col("__text"), "left").select(key, F.col("valid").alias("node"))
+
+
+def _validated(texts: DataFrame, vocabulary: DataFrame, corrections: dict[str, str | None] | None, levels: int) -> DataFrame:
+    """(tree, valid) of texts (tree, node)."""
+    rows, n = _levels(texts, "tree", "node", levels)
+    rows = stored(rows.drop("node", "deep"), "levels")
+    leaves = _flat(rows, n, "tree").filter("op = 'clinical'").select("tree", _fields(F.get_json_object("body", "$.clinical")).alias("fields"))
+    used = leaves.select("tree", _name(F.col("fields")).alias("name")).filter("name IS NOT NULL").distinct()
     used = stored(used, "names")  # several joins look them up
     resolved = vocab.resolve(used.select("name").distinct(), vocabulary, corrections=corrections).filter("resolved IS NOT NULL")
-    own = used.join(resolved, "name").groupBy(F.col(key).alias("__key")).agg(F.map_from_entries(F.collect_list(F.struct("name", "resolved"))).alias("names"))
-    rows = rows.join(own, F.col(key).eqNullSafe(F.col("__key")), "left").withColumn("names", F.coalesce("names", F.create_map().cast("map<string,string>")))
+    own = used.join(resolved, "name").groupBy("tree").agg(F.map_from_entries(F.collect_list(F.struct("name", "resolved"))).alias("names"))
+    rows = rows.join(own, "tree", "left").withColumn("names", F.coalesce("names", F.create_map().cast("map<string,string>")))
 
+    # an expression that a lambda mentions twice is worked out twice: name and kept are made in steps of their own
     def leaf(n: Column) -> Column:
         return F.struct(n["parent"].alias("parent"), n["op"].alias("op"), n["text"].alias("text"), F.when(n["op"] == "clinical", _fields(F.get_json_object(n["text"], "$.clinical"))).alias("fields"))
 
+    def named(n: Column) -> Column:
+        return n.withField("name", F.try_element_at("names", _name(n["fields"])))
+
+    def kept(n: Column) -> Column:
+        return n.withField("fields", F.map_filter(n["fields"], lambda k, v: (k != DIAGNOSIS) | n["name"].isNotNull()))
+
     def fixed(n: Column) -> Column:
         """A clinical leaf's text, null if nothing is left."""
-        name = F.try_element_at("names", _name(n["fields"]))
-        kept = F.map_filter(n["fields"], lambda k, v: (k != DIAGNOSIS) | name.isNotNull())
-        fields = F.transform_values(kept, lambda k, v: F.when(k == DIAGNOSIS, name.cast("variant")).otherwise(v))
-        return F.when(F.size(kept) > 0, F.concat(F.lit('{"clinical":'), F.to_json(fields), F.lit("}")))
+        fields = F.transform_values(n["fields"], lambda k, v: F.when(k == DIAGNOSIS, n["name"].cast("variant")).otherwise(v))
+        return F.when(F.size(n["fields"]) > 0, F.concat(F.lit('{"clinical":'), F.to_json(fields), F.lit("}")))
 
     def rebuilt(below: str | None) -> Callable[[Column, Column], Column]:
         """A node with its children's texts, which are in the level below."""
@@ -180,6 +195,6 @@ def validate_nodes(trees: DataFrame, vocabulary: DataFrame, key: str, node: str,
     for i in reversed(range(n)):
         level, below = f"level{i}", f"level{i + 1}" if i + 1 < n else None
         # a column that is mentioned twice isn't copied into what uses it: a level is worked out once, not for every node above
-        made = F.transform(F.transform(F.transform(level, leaf), rebuilt(below)), written)
+        made = F.transform(F.transform(F.transform(F.transform(F.transform(level, leaf), named), kept), rebuilt(below)), written)
         rows = rows.withColumn(level, made if below is None else F.when(F.size(below).isNotNull(), made))
-    return rows.select(key, F.get(F.col("level0"), F.lit(0))["text"].alias("node"))
+    return rows.select("tree", F.get(F.col("level0"), F.lit(0))["text"].alias("valid"))
