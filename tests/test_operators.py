@@ -60,6 +60,21 @@ def test_report_context(spark):
     assert out["9"].primary_match.nct_id == "Np3" and out["9"].patient_header is None
 
 
+def exchanges(df):
+    """Of a plan that hasn't run."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(sample_id")
+
+
+def test_report_shuffles_matches_once(spark):
+    rows = [match("1", "p1", "genomic", None, 0), match("1", "p2", "clinical", None, 1), match(None, "p1", "genomic", None, 2), match(None, "p2", "clinical", None, 3)]
+    trials = spark.createDataFrame([], "protocol_no string, _summary struct<long_title:string,short_title:string,phase:string,investigator:struct<full_name:string>>")
+    extras = spark.createDataFrame([("2", ("Ann",), ["r"])], "sample_id string, patient struct<first_name:string>, reports array<string>")
+    report = matches.report_context(spark.createDataFrame(rows, MATCH), trials, extras)
+    out = {r.sample_id: r.other_matches and [(x.number, x.protocol_no) for x in r.other_matches] for r in report.collect()}
+    assert out == {"1": [(1, "p2")], "2": None, None: None}
+    assert exchanges(report) <= 3  # matches, patients, and both after a large join with trials
+
+
 def test_no_matches(spark):
     empty = spark.createDataFrame([], MATCH)
     assert matches.primary_match(empty, "sample_id", matches.match_priority(), ["ord"]).count() == 0

@@ -28,13 +28,22 @@ def primary_match(matches: DataFrame, by: str, priority: list[Column], ord: list
     return matches.groupBy(by).agg(F.min_by(F.struct(*matches.columns), rank).alias("row")).select("row.*")
 
 
-def other_matches(matches: DataFrame, primary: DataFrame, by: str, group: str, ord: list[str]) -> DataFrame:
+def numbered_matches(matches: DataFrame, by: str, group: str, priority: list[Column], ord: list[str]) -> DataFrame:
+    """``matches`` with ``number``: of the first row of each non-empty ``group`` of a ``by``, without the group of the primary match, its
+    number in order; null for all other rows. Rows are dealt out by ``by`` once, and stay there; a null ``by`` has no numbers."""
+    own = Window.partitionBy(by)
+    rank = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(priority)], *ord)
+    rows = matches.repartition(by).withColumn("__taken", F.min_by(F.struct(F.col(group).alias("g")), rank).over(own)["g"])
+    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(by, group).orderBy(*ord)))
+    other = (F.col("__nth") == 1) & F.col(by).isNotNull() & clean.filled(F.col(group).cast("string")).isNotNull() & ~F.col(group).eqNullSafe(F.col("__taken"))
+    rows = rows.withColumn("__other", F.coalesce(other, F.lit(False)))
+    number = F.when(F.col("__other"), F.row_number().over(Window.partitionBy(by, "__other").orderBy(*ord)))
+    return rows.withColumn("number", number).drop("__taken", "__nth", "__other")
+
+
+def other_matches(matches: DataFrame, by: str, group: str, priority: list[Column], ord: list[str]) -> DataFrame:
     """The first row of each non-empty ``group`` of a ``by``, without the primary's group, with its number in order."""
-    first = matches.filter(clean.filled(F.col(group).cast("string")).isNotNull()).groupBy(by, group).agg(F.min_by(F.struct(*matches.columns), F.struct(*ord)).alias("row")).select("row.*")
-    taken = primary.select(F.col(by).alias("__by"), F.col(group).alias("__group"))
-    mine = (F.col(by) == F.col("__by")) & F.col(group).eqNullSafe(F.col("__group"))
-    rest = first.join(taken, mine, "left_anti")
-    return rest.withColumn("number", F.row_number().over(Window.partitionBy(by).orderBy(*ord)))
+    return numbered_matches(matches, by, group, priority, ord).filter("number IS NOT NULL")
 
 
 def trim_referenced(trials: DataFrame, matches: DataFrame, key: str = "protocol_no") -> DataFrame:
@@ -42,9 +51,9 @@ def trim_referenced(trials: DataFrame, matches: DataFrame, key: str = "protocol_
     return trials.join(matches.select(key), key, "left_semi")
 
 
-def match_context(primary: DataFrame, trials: DataFrame) -> DataFrame:
+def match_context(primary: DataFrame, trials: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """(sample_id, nct_id, trial_status, trial, match_detail, genomic) of each primary match; the last three are
-    labelled rows. ``trials`` has one row for each protocol_no with its ``_summary``."""
+    labelled rows. ``trials`` has one row for each protocol_no with its ``_summary``; ``kept`` columns of ``primary`` follow."""
     t = trials.select(F.col("protocol_no").alias("__protocol"), F.col("_summary").alias("s"))
     joined = primary.join(t, F.col("protocol_no") == F.col("__protocol"), "left")
     status = clean.capitalized(F.coalesce("trial_summary_status", F.lit("")))
@@ -61,7 +70,7 @@ def match_context(primary: DataFrame, trials: DataFrame) -> DataFrame:
     detail = {"Cancer Type Match": F.col("cancer_type_match"), "Reason Type": F.col("reason_type"), "Match Type": F.col("match_type"), "Arm": F.col("code")}
     genomic = {label: F.col(c) for c, label in rules.GENOMIC_MATCH.items()}
     rows = [clean.labelled_rows(x).alias(n) for n, x in (("trial", trial), ("match_detail", detail), ("genomic", genomic))]
-    return joined.select("sample_id", "nct_id", status.alias("trial_status"), *rows)
+    return joined.select("sample_id", "nct_id", status.alias("trial_status"), *rows, *(kept or []))
 
 
 def patient_context(extras: DataFrame) -> DataFrame:
@@ -78,11 +87,13 @@ def patient_context(extras: DataFrame) -> DataFrame:
 
 def report_context(matches: DataFrame, trials: DataFrame, extras: DataFrame) -> DataFrame:
     """The report table: for each sample with matches or patient data its patient rows, primary match and other matches."""
-    shown = visible(matches)
-    primary = primary_match(shown, "sample_id", match_priority(), ["ord"])
-    context = match_context(primary, trials)
-    others = other_matches(shown, primary, "sample_id", "protocol_no", ["ord"])
+    shown = numbered_matches(visible(matches), "sample_id", "protocol_no", match_priority(), ["ord"])
+    rank = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(match_priority())], "ord")
+    used = [c for c in matches.columns if c not in ("sample_id", "show_in_ui", "sort_order", "ord")]
     fields = ["number", "protocol_no", "nct_id", "match_level", "match_type", F.coalesce("genomic_alteration", F.lit("")).alias("genomic_alteration"), F.lit("matchminer").alias("source")]
-    others = others.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("other_matches"))
-    main = context.select("sample_id", F.struct(*[c for c in context.columns if c != "sample_id"]).alias("primary_match"))
-    return patient_context(extras).join(main, "sample_id", "full").join(others, "sample_id", "left")
+    others = F.array_sort(F.collect_list(F.when(F.col("number").isNotNull(), F.struct(*fields))))
+    best = shown.groupBy("sample_id").agg(F.min_by(F.struct(*used), rank).alias("row"), others.alias("others"))
+    others = F.when(F.size("others") > 0, F.col("others"))
+    context = match_context(best.select("sample_id", "row.*", others.alias("other_matches")), trials, ["other_matches"])
+    main = context.select("sample_id", F.struct(*[c for c in context.columns if c not in ("sample_id", "other_matches")]).alias("primary_match"), "other_matches")
+    return patient_context(extras).join(main, "sample_id", "full")

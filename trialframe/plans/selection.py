@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -17,11 +17,14 @@ p AS (SELECT * FROM r WHERE rn = 1)
 """
 
 
+def _priority() -> list[Column]:
+    level, reason = (F.when(F.col(c) == v, 0).otherwise(1) for c, v in (("l_returnflag", "R"), ("l_linestatus", "F")))
+    return [level, reason, F.array(F.col("l_linenumber").cast("double"), "l_quantity")]
+
+
 def primary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, sf_dir, "lineitem")
-    level, reason = (F.when(F.col(c) == v, 0).otherwise(1) for c, v in (("l_returnflag", "R"), ("l_linestatus", "F")))
-    order = F.array(F.col("l_linenumber").cast("double"), "l_quantity")
-    return lines, matches.primary_match(lines, "l_orderkey", [level, reason, order], _TIES.split(", "))
+    return lines, matches.primary_match(lines, "l_orderkey", _priority(), _TIES.split(", "))
 
 
 @query(_PRIMARY + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus FROM p")
@@ -36,8 +39,7 @@ o AS (SELECT f.* FROM f JOIN p ON f.l_orderkey = p.l_orderkey WHERE f.k = 1 AND
 SELECT l_orderkey, l_suppkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_TIES})::INTEGER AS number FROM o"""
 )
 def other_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, best = primary(spark, sf_dir)
-    rest = matches.other_matches(lines, best, "l_orderkey", "l_suppkey", _TIES.split(", "))
+    rest = matches.other_matches(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey", _priority(), _TIES.split(", "))
     return rest.select("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "number")
 
 
