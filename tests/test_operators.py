@@ -75,6 +75,13 @@ def test_report_shuffles_matches_once(spark):
     assert exchanges(report) <= 3  # matches, patients, and both after a large join with trials
 
 
+def test_other_matches_shuffle_once(spark):
+    rows = [match("1", "p2", "clinical", None, 4), match("1", "p3", "clinical", None, 3), match("1", "p2", "clinical", None, 2), match("1", "p1", "genomic", None, 1), match("1", None, "clinical", None, 0), match("2", None, "genomic", None, 0), match("2", "p1", "clinical", None, 1)]
+    others = matches.other_matches(spark.createDataFrame(rows, MATCH), "sample_id", "protocol_no", matches.match_priority(), ["ord"])
+    assert sorted((r.sample_id, r.number, r.protocol_no, r.ord) for r in others.collect()) == [("1", 1, "p2", 2), ("1", 2, "p3", 3), ("2", 1, "p1", 1)]
+    assert exchanges(others) == 1
+
+
 def test_no_matches(spark):
     empty = spark.createDataFrame([], MATCH)
     assert matches.primary_match(empty, "sample_id", matches.match_priority(), ["ord"]).count() == 0
