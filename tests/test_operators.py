@@ -82,6 +82,20 @@ def test_other_matches_shuffle_once(spark):
     assert exchanges(others) == 1
 
 
+def test_other_matches_sort_twice(spark):
+    values = ((s, p, r, o) for s in ("1", "2", None) for p in ("p1", "p2", "p3", "", None) for r in ("genomic", "clinical") for o in ([1] * 6, [2] * 6, None))
+    rows = [match(s, p, r, o, (i * 37) % 90) for i, (s, p, r, o) in enumerate(values)]
+    others = matches.other_matches(spark.createDataFrame(rows, MATCH), "sample_id", "protocol_no", matches.match_priority(), ["ord"])
+    expected = []
+    for sample in ("1", "2"):
+        own = sorted((r for r in rows if r[0] == sample), key=lambda r: r[-1])
+        primary = min(own, key=lambda r: (r[4] != "genomic", r[9] or matches.DEFAULT_ORDER, r[-1]))
+        first = {r[1]: r for r in reversed(own) if r[1] and r[1] != primary[1]}
+        expected += [(sample, i, r[1], r[-1]) for i, r in enumerate(sorted(first.values(), key=lambda r: r[-1]), 1)]
+    assert sorted((r.sample_id, r.number, r.protocol_no, r.ord) for r in others.collect()) == expected
+    assert others.select("*")._jdf.queryExecution().executedPlan().toString().count("Sort [") == 2  # a third one held the ranks
+
+
 def test_no_matches(spark):
     empty = spark.createDataFrame([], MATCH)
     assert matches.primary_match(empty, "sample_id", matches.match_priority(), ["ord"]).count() == 0

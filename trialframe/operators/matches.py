@@ -30,11 +30,12 @@ def primary_match(matches: DataFrame, by: str, priority: list[Column], ord: list
 
 def numbered_matches(matches: DataFrame, by: str, group: str, priority: list[Column], ord: list[str]) -> DataFrame:
     """``matches`` with ``number``: of the first row of each non-empty ``group`` of a ``by``, without the group of the primary match, its
-    number in order; null for all other rows. Rows are dealt out by ``by`` once, and stay there; a null ``by`` has no numbers."""
+    number in order; null for all other rows. Rows are dealt out by ``by`` once, and stay there; a null ``by`` has no numbers.
+    The primary's group is found after the rows are sorted by group: it needs no sort of its own, and the sorts don't hold the ranks."""
     own = Window.partitionBy(by)
     rank = F.struct(*[c.alias(f"p{i}") for i, c in enumerate(priority)], *ord)
-    rows = matches.repartition(by).withColumn("__taken", F.min_by(F.struct(F.col(group).alias("g")), rank).over(own)["g"])
-    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(by, group).orderBy(*ord)))
+    rows = matches.repartition(by).withColumn("__nth", F.row_number().over(Window.partitionBy(by, group).orderBy(*ord)))
+    rows = rows.withColumn("__taken", F.min_by(F.struct(F.col(group).alias("g")), rank).over(own)["g"])
     other = (F.col("__nth") == 1) & F.col(by).isNotNull() & clean.filled(F.col(group).cast("string")).isNotNull() & ~F.col(group).eqNullSafe(F.col("__taken"))
     rows = rows.withColumn("__other", F.coalesce(other, F.lit(False)))
     number = F.when(F.col("__other"), F.row_number().over(Window.partitionBy(by, "__other").orderBy(*ord)))
